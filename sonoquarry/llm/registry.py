@@ -3,14 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sonoquarry.llm import minhash
+from sonoquarry.llm import bpe, decontaminate, minhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
+    """Where the public tokenizer files of this installation lie."""
+    try:
+        import public_tokenizers
+
+        return str(public_tokenizers.path(name))
+    except ImportError:
+        return str(Path("/opt/tokenizers") / name)
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -19,9 +30,19 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(_table(spark, sf_dir, "documents"), vocabulary_path())
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_minhash": op1_minhash,
+        "op7_decontaminate": op7_decontaminate,
+        "op8_bpe": op8_bpe,
     }
 
 
