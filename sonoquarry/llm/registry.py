@@ -6,8 +6,9 @@ from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sonoquarry.llm import bpe, decontaminate, minhash
+from sonoquarry.llm import bpe, chat, decontaminate, language, minhash, secrets, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +31,21 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    text = r"\### Assistant: </turn> ok"
+    extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(text).alias("text"))
+    return chat.conversations(turns.unionByName(extra)).drop("error")
+
+
+def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.filtered(_table(spark, sf_dir, "pages"))
+
+
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(secrets.secret_spans(_table(spark, sf_dir, "documents")))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -38,13 +54,66 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_minhash": op1_minhash,
+        "op2_chat": op2_chat,
+        "op3_urls": op3_urls,
+        "op4_secrets": op4_secrets,
         "op7_decontaminate": op7_decontaminate,
         "op8_bpe": op8_bpe,
+        "op9_language": op9_language,
     }
 
 
+OP2_SQL = r"""
+WITH c AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')
+), t AS (
+    SELECT *, lag(role, 1, '') OVER (PARTITION BY conv_id ORDER BY turn) AS before,
+        lead(role, 1, '') OVER (PARTITION BY conv_id ORDER BY turn) AS after,
+        replace(replace(replace(text, '\', '\\'), '###', '\###'), '</turn>', '\</turn>') AS escaped,
+        CASE role WHEN 'system' THEN '### System: ' WHEN 'user' THEN '### User: ' WHEN 'assistant' THEN '### Assistant: '
+            ELSE '### Role ' || replace(replace(replace(replace(role, '\', '\\'), '###', '\###'), '</turn>', '\</turn>'), ': ', '\: ') || ': ' END AS head
+    FROM c
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    sum(length(head) + length(escaped) + 8)::BIGINT AS formatted_chars,
+    bool_and(CASE before WHEN '' THEN role IN ('system', 'user') WHEN 'system' THEN role = 'user' WHEN 'user' THEN role = 'assistant' WHEN 'assistant' THEN role = 'user' ELSE false END)
+        AND bool_and(after <> '' OR role = 'assistant') AS valid
+FROM t GROUP BY conv_id
+"""
+
+OP3_SQL = r"""
+WITH p AS (
+    SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), h AS (
+    SELECT page_id, translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM p
+), r AS (
+    SELECT *, CASE
+        WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/de/8') THEN 'example.net/de/8'
+        WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/en/7') THEN 'example.com/en/7'
+        WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/en/') THEN 'com/en/'
+        WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/de/') THEN 'net/de/'
+        WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/es/') THEN 'org/es/' END AS rule,
+        regexp_matches(host, '(^|\.)(casino-win\.example\.com|cheap-pills\.example\.com|free-bets\.example\.com|spam\.example\.net)$') AS listed
+    FROM h
+)
+SELECT page_id, host, path, rule, CASE
+    WHEN rule IN ('com/en/', 'example.net/de/8', 'org/es/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+    WHEN listed THEN 'block' ELSE 'allow' END AS verdict, listed
+FROM r
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_chat": OP2_SQL, "op3_urls": OP3_SQL}
