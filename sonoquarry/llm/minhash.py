@@ -30,12 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sonoquarry.llm import textbytes as tb
-from sonoquarry.llm.shared import components, documents_of, saved
+from sonoquarry.llm.shared import components, documents_of, filtered_rows, saved
 
 ROWS, BANDS = 5, 40  # a pair at 0.8 shares a band with probability 1 - 1.3e-7
 _PLACES = 1 << 20
 _SEED = 20_240_607
 _NOT_SPACE = ~tb.class_table((0x09, 0x0D), (0x20, 0x20))
+SIEVE_BITS = 1 << 26
 _SQUARE = 256  # members a side in a block of comparisons
 _WIDTH = 8192  # shingles of a block that are compared at once
 
@@ -98,6 +99,38 @@ def _signed(bands: int, rows: int):
     return run
 
 
+def _sieve_places(ids: np.ndarray, size: int) -> np.ndarray:
+    ids = ids.astype(np.int64).view(np.uint64)
+    return np.stack([tb.mix(ids + np.uint64(k) * np.uint64(0xD6E8FEB86659FD93)) % np.uint64(size) for k in range(1, 5)]).astype(np.int64)
+
+
+def _sieve(ids: DataFrame) -> np.ndarray:
+    """A Bloom filter of ids, of SIEVE_BITS at most: only a shortcut before an exact join."""
+    size = int(min(SIEVE_BITS, max(1 << 12, 12 * ids.count())))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(size, bool)
+        for batch in batches:
+            bits[_sieve_places(batch.column(0).to_numpy(), size)] = True
+        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], names=["bits"])
+
+    parts = ids.coalesce(4).mapInArrow(run, "bits binary").toLocalIterator()
+    total = np.zeros(size, bool)
+    for row in parts:
+        total |= np.unpackbits(np.frombuffer(row.bits, np.uint8), count=size).astype(bool)
+    return total
+
+
+def _sets_of(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sieve = shared.value
+        for batch in batches:
+            hit = sieve[_sieve_places(batch.column("doc_id").to_numpy(), len(sieve))].all(axis=0)
+            yield from _sets(iter([batch.filter(pa.array(hit))]))
+
+    return run
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for a in range(0, batch.num_rows, 1024):
@@ -163,11 +196,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = full.groupBy("mark").agg(F.min("doc_id").alias("rep"))
     filed = signed.select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.col("mark")).alias("mark")).join(classes, "mark", "left")
     # A class of one needs no partner to be a representative; a larger one is represented by its smallest doc_id.
-    reps = full.join(classes.withColumnRenamed("rep", "doc_id"), ["mark", "doc_id"], "left_semi").select("doc_id", "n", F.explode("keys").alias("key"))
+    reps = full.join(classes.withColumnRenamed("rep", "doc_id"), ["mark", "doc_id"], "left_semi").select("doc_id", F.explode("keys").alias("key"))
     hubs = reps.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last")).where("hub < last").drop("last")
     stars = saved(reps.join(hubs, "key").where("doc_id <> hub").select("hub", "doc_id").distinct())
-    ids = stars.select("doc_id").unionByName(stars.select(F.col("hub").alias("doc_id"))).distinct()
-    sets = saved(docs.where("doc_id is not null").join(ids, "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, codes array<long>"))
+    ids = saved(stars.select("doc_id").unionByName(stars.select(F.col("hub").alias("doc_id"))).distinct())
+    # Texts are not shuffled: a sieve leaves hardly more than the documents wanted, whose sets are then joined.
+    sieve = docs.sparkSession.sparkContext.broadcast(_sieve(ids))
+    sets = saved(docs.where("doc_id is not null").mapInArrow(_sets_of(sieve), "doc_id long, codes array<long>").join(ids, "doc_id", "left_semi"))
     of = lambda name: sets.select(F.col("doc_id").alias(name), F.col("codes").alias(f"{name}_codes"))
     shared = F.size(F.array_intersect("a_codes", "b_codes"))
     pairs = stars.select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).join(of("b"), "b").join(of("a"), "a")
@@ -180,6 +215,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
 
 
+def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
+    """docs, with all their columns, without documents that are not their group's smallest doc_id.
+
+    Of rows that repeat both doc_id and text one stays; rows without a doc_id all stay. Texts of
+    documents that a sieve shows to stay are not shuffled; the rest is decided by an exact join.
+    """
+    names = docs.columns
+    found = near_duplicates(docs, id_col, text_col, percent).where("doc_id is not null")
+    decided = found.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("n")).where("not kept or n > 1")
+    decided = saved(decided)
+    sieve = docs.sparkSession.sparkContext.broadcast(_sieve(decided.select("doc_id")))
+
+    def hit(batch: pa.RecordBatch) -> np.ndarray:
+        ids = batch.column("doc_id")
+        return sieve.value[_sieve_places(ids.fill_null(0).to_numpy(), len(sieve.value))].all(axis=0) & ids.is_valid().to_numpy(zero_copy_only=False)
+
+    plain = filtered_rows(docs, lambda batch: ~hit(batch), id_col, text_col)
+    maybe = filtered_rows(docs, hit, id_col, text_col).toDF(*[f"c{k}" for k in range(len(names))])
+    key = f"c{names.index(id_col)}"
+    joined = maybe.join(decided.withColumnRenamed("doc_id", key), key, "left").where("kept is null or kept")
+    single = joined.where("n is null or n = 1").select(*maybe.columns)
+    repeated = joined.where("n > 1").select(*maybe.columns).dropDuplicates([key, f"c{names.index(text_col)}"])
+    return plain.unionByName(single.toDF(*names)).unionByName(repeated.toDF(*names))
+
+
 def _open_links(stars: DataFrame, homes: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
     """Links that no star has shown: between members of one bucket that lie in different components.
 

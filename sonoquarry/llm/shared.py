@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +37,25 @@ def documents_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
+def filtered_rows(docs: DataFrame, keep: Callable[[pa.RecordBatch], np.ndarray], id_col: str, text_col: str) -> DataFrame:
+    """The rows for which keep(batch of doc_id and text) is true, with all columns, in one scan and no shuffle.
+
+    Columns travel under numbers, so no name of theirs can clash.
+    """
+    names = docs.columns
+    at_id, at_text = names.index(id_col), names.index(text_col)
+    numbered = docs.toDF(*[f"c{k}" for k in range(len(names))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for a in range(0, whole.num_rows, 2048):
+                batch = whole.slice(a, 2048)
+                seen = pa.RecordBatch.from_arrays([batch.column(at_id), batch.column(at_text)], names=["doc_id", "text"])
+                yield batch.filter(pa.array(keep(seen)))
+
+    return numbered.mapInArrow(run, numbered.schema).toDF(*names)
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components by alternating large-star and small-star steps.
 
