@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sonoquarry.llm import textbytes as tb
-from sonoquarry.llm.shared import documents_of
+from sonoquarry.llm.shared import documents_of, filtered_rows
 
 WINDOW, SHINGLE = 10, 3
 BLOCK_BYTES = 8 << 20  # text of the items of one block
@@ -201,12 +201,31 @@ def _marked(shared):
     return run
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows, with all their columns, in which no benchmark window occurs."""
+    shared = _indexes(documents_of(docs, id_col, text_col), benchmark, window, block_bytes)
+
+    def keep(batch: pa.RecordBatch) -> np.ndarray:
+        out, row = np.ones(batch.num_rows, bool), 0
+        for words, first in tokenised(batch.column("text")):
+            for x in shared:
+                begin = x.value.hits(words, first)[1]
+                out[row + np.searchsorted(first, begin, side="right") - 1] = False
+            row += len(first) - 1
+        return out
+
+    return filtered_rows(docs, keep, id_col, text_col)
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
-    return _scan(documents_of(docs, id_col, text_col), benchmark, window, block_bytes)
+    docs = documents_of(docs, id_col, text_col)
+    shared = _indexes(docs, benchmark, window, block_bytes)
+    return docs.mapInArrow(_marked(shared), "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
 
 
-def _scan(docs: DataFrame, benchmark: DataFrame, window: int, block_bytes: int) -> DataFrame:
+def _indexes(docs: DataFrame, benchmark: DataFrame, window: int, block_bytes: int) -> list:
+    """Broadcast indexes of all blocks of the benchmark, their prefixes chosen by counts over all docs."""
     items = benchmark.select(F.col("item_id"), F.col("text").cast("string").alias("text"))
     context, shared = docs.sparkSession.sparkContext, []
     for index in _blocks(items, window, block_bytes):
@@ -218,4 +237,4 @@ def _scan(docs: DataFrame, benchmark: DataFrame, window: int, block_bytes: int)
         raw.unpersist()
         index.rank(totals)
         shared.append(context.broadcast(index))
-    return docs.mapInArrow(_marked(shared), "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
+    return shared

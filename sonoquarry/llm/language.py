@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sonoquarry.llm.shared import documents_of
+from sonoquarry.llm.shared import documents_of, filtered_rows
 
 SAMPLE, DOCS, BLOCK = 16_000, 64, 512
 _LETTER = re.compile(r"[^\W\d_]")
@@ -180,6 +180,16 @@ def identify(docs: DataFrame, samples: dict[str, bytes], id_col: str = "doc_id",
     return docs.mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
+def in_known_language(docs: DataFrame, samples: dict[str, bytes], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose text gets a language: what would be `und` goes."""
+    some = bool(samples)
+
+    def keep(batch: pa.RecordBatch) -> np.ndarray:
+        return np.array([some and bool(t) and _LETTER.search(t) is not None for t in batch.column("text").to_pylist()], bool)
+
+    return filtered_rows(docs, keep, id_col, text_col)
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     """The fold that nothing is learnt from; a null id is in no fold."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False))
