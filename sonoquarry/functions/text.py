@@ -6,6 +6,8 @@ any number or the underscore; combining marks are not. White space follows Pytho
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -71,18 +73,23 @@ def clock(seconds: Column) -> Column:
 
 
 def repeated_ngram(words: Column, n: int = 3, times: int = 3) -> Column:
-    """Whether some n words stand `times` times in a row."""
-    span = n * times
-    starts = F.sequence(F.lit(1), F.greatest(F.size(words) - (span - 1), F.lit(1)))
-    same = F.exists(starts, lambda i: _all([F.slice(words, i, n) == F.slice(words, i + n * k, n) for k in range(1, times)]))
-    return F.when(F.size(words) >= span, same).otherwise(F.lit(False))
-
-
-def _all(conditions: list[Column]) -> Column:
-    out = conditions[0]
-    for c in conditions[1:]:
-        out = out & c
-    return out
+    """Whether some n words stand `times` times in a row: then n * (times - 1) words in a row equal those n places on.
+
+    One pass: each place gives a sign, and the signs are searched for a run. (A lambda over places would
+    make the words anew for each.)
+    """
+
+    def found(w: Column) -> Column:
+        rest = F.greatest(F.size(w) - n, F.lit(0))
+        signs = F.zip_with(F.slice(w, 1, rest), F.slice(w, n + 1, rest), lambda a, b: F.when(a == b, "=").otherwise("."))
+        return F.contains(F.array_join(signs, ""), F.lit("=" * (n * (times - 1))))
+
+    return F.coalesce(bound(words, found), F.lit(False))
+
+
+def bound(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f(value) with the value computed once, however often f uses it inside lambdas."""
+    return F.get(F.transform(F.array(value), f), 0)
 
 
 def fixed(x: Column, digits: int) -> Column:
