@@ -293,3 +293,19 @@ def test_signal():
     t, db = signal.frame_levels(tone, rate)
     assert len(t) == 1 + (len(tone) - 400) // 160 and abs(db[3] - -3.01) < 0.2
     assert len(signal.padded(tone, rate, 0.5, 0.5)) == 3 * rate and len(signal.tiled(tone[:10], 25)) == 30 and len(signal.resampled(tone, rate, 8000)) == rate
+
+
+def test_ratio_bound_never_hides_a_match():
+    from sonoquarry.functions import vectors
+
+    r = random.Random(11)
+    for _ in range(600):
+        a = "".join(r.choice("abcd e") for _ in range(r.randint(0, 60)))
+        b = list(a)
+        for _ in range(r.randint(0, 8)):
+            k = r.randrange(len(b) + 1)
+            b[k : k + r.randint(0, 1)] = r.choice(["", "x", "ab"])
+        b = "".join(b)
+        for least in (0.7, 0.92):
+            if SequenceMatcher(None, a, b).ratio() >= least:
+                assert vectors._may_reach(a, b, vectors._profile(a), vectors._profile(b), least)
