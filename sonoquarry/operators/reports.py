@@ -155,6 +155,15 @@ def timestamps(clips: DataFrame) -> DataFrame:
     )
 
 
+def timestamp_lines(numbered: DataFrame) -> DataFrame:
+    """The printed form of `timestamps`: source_file, n and a line with number, start, end, length and transcript."""
+    line = F.concat_ws(
+        "  ", F.lpad(F.col("n").cast("string"), 3, " "), F.lpad("start_hms", 12, " "), F.lpad("end_hms", 12, " "),
+        F.lpad(F.concat(T.fixed(F.col("duration_sec"), 1), F.lit("s")), 7, " "), F.concat(F.lit(" "), T.stripped(F.coalesce("transcript", F.lit("")))),
+    )
+    return numbered.select("source_file", "n", line.alias("line"))
+
+
 def batch_rollup(plan: DataFrame, clips: DataFrame) -> DataFrame:
     """Per planned folder: clip counts and status. plan: folder, audio_files and error (null if none)."""
     of = lambda s: F.count_if(F.col("status") == s)

@@ -43,6 +43,13 @@ def folder_plan(files: DataFrame, output: str | None = None, only: list[str] | N
     return files.where(keep).groupBy("folder").agg(F.count("*").alias("audio_files"))
 
 
+def planned(plan: DataFrame, direct: DataFrame, root_name: str) -> DataFrame:
+    """The folder plan, or the root as its one folder if there is none but files lie in the root itself."""
+    if not plan.isEmpty():
+        return plan
+    return direct.agg(F.count("*").alias("audio_files")).where("audio_files > 0").select(F.lit(root_name).alias("folder"), "audio_files")
+
+
 def with_keys(files: DataFrame) -> DataFrame:
     """Adds source_id: the folder's name, with _2, _3 ... for its further files in path order."""
     n = F.row_number().over(Window.partitionBy("folder").orderBy("path"))

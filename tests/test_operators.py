@@ -309,3 +309,8 @@ def test_ratio_bound_never_hides_a_match():
         for least in (0.7, 0.92):
             if SequenceMatcher(None, a, b).ratio() >= least:
                 assert vectors._may_reach(a, b, vectors._profile(a), vectors._profile(b), least)
+
+
+def test_timestamp_lines(spark):
+    d = spark.createDataFrame([("u", "f.wav", "accepted", 0.0, 4.25, 4.25, "te", " x ")], "utterance_id string, source_filename string, status string, start_sec double, end_sec double, duration_sec double, detected_language string, text string")
+    assert reports.timestamp_lines(reports.timestamps(d)).first().line == "  1  00:00:00.000  00:00:04.250     4.2s   x"

@@ -112,3 +112,12 @@ def test_registry_stream_equals_batch(spark, tmp_path):
     got = {x.seq: x.decision for x in spark.read.parquet(f"{tmp_path}/registry").collect()}
     want = {x.seq: x.decision for x in speakers.registered(spark.createDataFrame(rows, schema), cfg).collect()}
     assert got == want and set(want.values()) == {"new", "review", "duplicate"}
+
+
+def test_plan_falls_back_to_the_root(spark):
+    none = spark.createDataFrame([], "folder string, audio_files long")
+    some = spark.createDataFrame([("a", 1)], "folder string, audio_files long")
+    files = spark.createDataFrame([("/r/1.wav",), ("/r/2.wav",)], "path string")
+    assert [tuple(x) for x in audio.planned(none, files, "r").collect()] == [("r", 2)]
+    assert [tuple(x) for x in audio.planned(some, files, "r").collect()] == [("a", 1)]
+    assert audio.planned(none, files.limit(0), "r").count() == 0
