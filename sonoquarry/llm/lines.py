@@ -6,9 +6,9 @@ lose every line is left whole: copies of whole pages are a matter for document d
 
 The shares need a grouped count per (host, line), combined before the shuffle, with two 64-bit hashes
 for the line. What passes the ratio is at most (distinct lines of an average page) / ratio entries a
-host, so it is gathered to one list per host whatever the host's size, and joined on the host; the hot
-side of that join can be split. Texts move in that join only if the lists are too large to broadcast
-under the session's threshold.
+host, so it is gathered to one list per host whatever the host's size, written, and joined on the host. Lists within
+the session's broadcast threshold are broadcast and no text moves; beyond it the join shuffles texts by
+host, and adaptive execution can split a hot host's side.
 
 All is DataFrame work. Lines are compared without white space at their ends; blank lines always stay.
 Defined results: null texts stay null with no lines; null hosts form a host of their own; repeated
@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sonoquarry.llm.shared import saved
+
 RATIO, PAGES = 0.2, 5
 _TRIM = r"^[ \t\r]+|[ \t\r]+$"
 
@@ -54,7 +56,8 @@ def without_boilerplate(pages: DataFrame, host_col: str = "source", text_col: st
     names = pages.columns
     renamed = pages.toDF(*[f"c{k}" for k in range(len(names))])  # no name of the input can clash from here on
     host, text = F.col(f"c{names.index(host_col)}"), F.col(f"c{names.index(text_col)}").cast("string")
-    drop = boilerplate(renamed, host, text, ratio, least_pages).alias("b")
+    # Written first, so that the join is planned by the lists' true size.
+    drop = saved(boilerplate(renamed, host, text, ratio, least_pages)).alias("b")
     joined = renamed.alias("p").join(drop, F.expr(f"p.c{names.index(host_col)} <=> b._host"), "left")
     lines = _lines(text)
     bare = lambda x: _bare(x)
