@@ -7,8 +7,8 @@ depth-first order of their trie: a stack holds the states on the path from the r
 what the next word shares with it and extended by the rest. A token may follow another only if the
 merges would never cross the place where they meet; this depends on the two tokens alone.
 
-Words seen before are looked up in a table of bounded size, which is emptied when full: the size
-changes the time, never a result.
+Words seen before are looked up in a table of bounded size, which is emptied when full and at the end
+of each task: the size changes the time, never a result.
 
 Texts of Latin letters and punctuation are split here; for other scripts the normaliser and splitter
 come from the vocabulary file through the tokenizers library. Special tokens standing in a text become
@@ -30,9 +30,9 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from sonoquarry.llm.shared import documents_of
+from sonoquarry.llm.shared import documents_of, release
 
-_TABLE_WORDS = 300_000
+_TABLE_WORDS = 200_000
 _SLICE_CHARS = 1 << 20
 # Latin letters, digits and other numbers up to U+024F, and white space there: fixed by Unicode.
 _LETTER, _NUMBER, _SPACE = "a-zªµºß-öø-ɏ", "0-9²³¹¼½¾", "\t-\r\x20\x85\xa0"
@@ -100,6 +100,11 @@ class Encoder:
         self.apart = re.compile("|".join(map(re.escape, sorted(vocabulary.special, key=len, reverse=True)))) if vocabulary.special else None
         self.library = None
 
+    def forget(self) -> None:
+        """Empties all tables; what they held is found again when needed."""
+        for table in (self.ids_of, self.pieces_of, self.meets, self.right, self.left):
+            table.clear()
+
     def _edge(self, token: str, side: int) -> list[tuple[str, int]]:
         """Tokens that stood at this edge while the token was merged, and the rank that ended each."""
         out, rank = [], _NEVER
@@ -122,7 +127,7 @@ class Encoder:
             ranks = self.v.ranks
             # Of equal ranks the leftmost is merged first: a tie with a's own merge is lost, one with b's is won.
             known = not any((r := ranks.get((x, y))) is not None and r < x_end and r <= y_end for x, x_end in self.right[a] for y, y_end in self.left[b])
-            if len(self.meets) >= 4 * _TABLE_WORDS:
+            if len(self.meets) >= _TABLE_WORDS:
                 self.meets.clear()
             self.meets[key] = known
         return known
@@ -247,11 +252,15 @@ def _mapped(docs: DataFrame, vocabulary: str, id_col: str, text_col: str, schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(load.key, load)
-        for whole in batches:
-            for a in range(0, whole.num_rows, 512):
-                batch = whole.slice(a, 512)
-                columns = row(encoder, batch.column("text").to_pylist())
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns.values()], names=["doc_id", *columns])
+        try:
+            for whole in batches:
+                for a in range(0, whole.num_rows, 512):
+                    batch = whole.slice(a, 512)
+                    columns = row(encoder, batch.column("text").to_pylist())
+                    yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns.values()], names=["doc_id", *columns])
+        finally:  # the worker lives on and serves other operators
+            encoder.forget()
+            release()
 
     return docs.mapInArrow(run, f"doc_id long, {schema}")
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sonoquarry.llm import textbytes as tb
-from sonoquarry.llm.shared import components, documents_of, filtered_rows, saved
+from sonoquarry.llm.shared import components, documents_of, filtered_rows, release, saved
 
 ROWS, BANDS = 5, 40  # a pair at 0.8 shares a band with probability 1 - 1.3e-7
 _PLACES = 1 << 20
@@ -88,13 +88,14 @@ def _lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
 def _signed(bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         none = np.zeros(0, np.uint64)
-        for batch in batches:
+        for batch in (whole.slice(a, 2048) for whole in batches for a in range(0, whole.num_rows, 2048)):
             sizes, marks, keys = [], [], []
             for codes in shingle_sets(batch.column("text")):
                 sizes.append(len(codes))
                 marks.append(hashlib.blake2b(codes.tobytes(), digest_size=16).digest() if len(codes) else None)
                 keys.append(band_keys(signature(codes, bands * rows), bands, rows) if len(codes) else none)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(marks, pa.binary()), _lists(keys, pa.int64())], names=["doc_id", "n", "mark", "keys"])
+        release()
 
     return run
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -37,6 +40,14 @@ def documents_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
+def release() -> None:
+    """Gives memory that a Python worker no longer uses back to the system: workers outlive their tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def filtered_rows(docs: DataFrame, keep: Callable[[pa.RecordBatch], np.ndarray], id_col: str, text_col: str) -> DataFrame:
     """The rows for which keep(batch of doc_id and text) is true, with all columns, in one scan and no shuffle.
 
@@ -52,6 +63,7 @@ def filtered_rows(docs: DataFrame, keep: Callable[[pa.RecordBatch], np.ndarray],
                 batch = whole.slice(a, 2048)
                 seen = pa.RecordBatch.from_arrays([batch.column(at_id), batch.column(at_text)], names=["doc_id", "text"])
                 yield batch.filter(pa.array(keep(seen)))
+        release()
 
     return numbered.mapInArrow(run, numbered.schema).toDF(*names)
 
