@@ -114,3 +114,17 @@ def test_languages(spark):
     assert all(0 <= g[3] <= 1 for g in got)
     assert {x.lang_pred for x in language.languages(d.withColumn("lang", d.lang.substr(9, 1)).where("1=0")).collect()} == set()
     assert {x.lang_pred for x in language.languages(d.drop("lang").selectExpr("*", "cast(null as string) lang")).collect()} == {"und"}
+
+
+def test_held_out_accuracy(spark):
+    import os
+
+    import pytest
+
+    path = "/root/testdata/sf0.001/documents.parquet"
+    if not os.path.exists(path):
+        pytest.skip("no test tables here")
+    d = spark.read.parquet(path)
+    got = language.languages(d).where("held_out").join(d.select("doc_id", "lang", "text"), "doc_id").where("lang is not null and length(text) > 40").collect()
+    assert len(got) > 30
+    assert sum(x.lang == x.lang_pred for x in got) / len(got) >= 0.95
