@@ -7,8 +7,8 @@ depth-first order of their trie: a stack holds the states on the path from the r
 what the next word shares with it and extended by the rest. A token may follow another only if the
 merges would never cross the place where they meet; this depends on the two tokens alone.
 
-Words seen before are looked up in a table of bounded size, which is emptied when full and at the end
-of each task: the size changes the time, never a result.
+Words seen before are looked up in a table of bounded size. When full it is cut down to the words at
+hand, and it is emptied at the end of each task: the size changes the time, never a result.
 
 Texts of Latin letters and punctuation are split here; for other scripts the normaliser and splitter
 come from the vocabulary file through the tokenizers library. Special tokens standing in a text become
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 
 from sonoquarry.llm.shared import documents_of, release
 
-_TABLE_WORDS = 200_000
+_TABLE_WORDS = 100_000
 _SLICE_CHARS = 1 << 20
 # Latin letters, digits and other numbers up to U+024F, and white space there: fixed by Unicode.
 _LETTER, _NUMBER, _SPACE = "a-zªµºß-öø-ɏ", "0-9²³¹¼½¾", "\t-\r\x20\x85\xa0"
@@ -134,9 +134,6 @@ class Encoder:
 
     def learn(self, words: set[str]) -> None:
         """Encode distinct words: one walk over their trie, in sorted order."""
-        if len(self.ids_of) + len(words) > _TABLE_WORDS:
-            self.ids_of.clear()
-            self.pieces_of.clear()
         mapped = sorted([(w if w.isascii() and w.isprintable() else "".join([self.symbols[b] for b in w.encode()]), w) for w in words])
         parts, meets, longest, suffix, ids = self.v.parts, self.meets, self.v.longest, self.v.end, self.id_text
         path, before = [""], ""  # path[k]: the last token of the encoding of the first k symbols
@@ -210,8 +207,9 @@ class Encoder:
                         fresh.update(words)
             missing = fresh.difference(self.ids_of)
             if missing:
-                if len(self.ids_of) + len(missing) > _TABLE_WORDS:  # the table is emptied: all words of this part are needed
-                    missing = fresh
+                if len(self.ids_of) + len(missing) > _TABLE_WORDS:  # words of this part stay: frequent ones are among them
+                    stay = fresh.difference(missing)
+                    self.ids_of, self.pieces_of = {w: self.ids_of[w] for w in stay}, {w: self.pieces_of[w] for w in stay}
                 self.learn(missing)
             ids_of, pieces_of, special = self.ids_of.__getitem__, self.pieces_of.__getitem__, self.v.special
             for pieces in part:
