@@ -25,8 +25,8 @@ def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near duplicates: the one with the smallest doc_id."""
-    return minhash.without_copies(docs)
+    """Keeps one document of each group of near duplicates (0.8 of five-word shingles): the one with the smallest doc_id."""
+    return minhash.without_copies(docs, shingle=5)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """Near-duplicate documents by circulant MinHash, banding and exact Jaccard verification.
 
-A document's set holds its distinct 2-word shingles. One permutation scatters the shingles over a
+A document's set holds its distinct shingles of `shingle` words. One permutation scatters the shingles over a
 circle of 2^20 places, a second one numbers the places, and coordinate k of the signature is the
 smallest number met when the numbering is turned by k places: two permutations give all coordinates.
 
@@ -12,7 +12,7 @@ other members, in blocks of bounded size, where one matrix product gives all int
 block and only links leave the task. Every link is confirmed on full sets.
 
 Defined results: a null doc_id is returned with null component and kept = false; null, empty and
-blank texts have no shingles and link with nothing; one word is one shingle; repeated rows each
+blank texts have no shingles and link with nothing; a text shorter than a shingle is one shingle; repeated rows each
 return a row, and all rows of one doc_id with equal texts get the same component; an empty table
 returns an empty table. Columns other than the id and the text are not read.
 """
@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from sonoquarry.llm import textbytes as tb
 from sonoquarry.llm.shared import components, documents_of, filtered_rows, release, saved
 
+SHINGLE = 2  # words
 ROWS, BANDS = 5, 40  # a pair at 0.8 shares a band with probability 1 - 1.3e-7
 _PLACES = 1 << 20
 _SEED = 20_240_607
@@ -48,17 +49,20 @@ def _windows(k: int) -> np.ndarray:
     return np.lib.stride_tricks.sliding_window_view(np.concatenate([number, number[: k - 1]]), k)
 
 
-def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
-    """For each text, the sorted distinct 64-bit codes of its shingles."""
+def shingle_sets(column: pa.Array, shingle: int = SHINGLE) -> Iterator[np.ndarray]:
+    """For each text, the sorted distinct 64-bit codes of its shingles of so many words."""
     data, offsets = tb.column_bytes(column)
     none = np.zeros(0, np.uint64)
     for a, b in tb.slices(offsets):
         buf = tb.LOWER[data[offsets[a] : offsets[b]]]
         starts, ends, first = tb.word_spans(buf, offsets[a : b + 1] - offsets[a], _NOT_SPACE)
         words = tb.word_hashes(buf, starts, ends)
-        pairs = tb.mix(words[:-1] * np.uint64(0x9E3779B97F4A7C15) + words[1:])
+        runs = [words]  # runs[m][i]: code of the m + 1 words from word i on
+        for m in range(1, shingle):
+            runs.append(tb.mix(runs[-1][:-1] * np.uint64(0x9E3779B97F4A7C15) + words[m:]))
         for i, j in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
-            yield none if i == j else tb.mix(words[i:j]) if j - i == 1 else np.unique(pairs[i : j - 1])
+            n = min(shingle, j - i)
+            yield none if n == 0 else tb.mix(words[i:j]) if j - i == 1 else np.unique(runs[n - 1][i : j - n + 1])
 
 
 def signature(codes: np.ndarray, k: int) -> np.ndarray:
@@ -85,12 +89,12 @@ def _lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view(np.int64), type=kind))
 
 
-def _signed(bands: int, rows: int):
+def _signed(bands: int, rows: int, shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         none = np.zeros(0, np.uint64)
         for batch in (whole.slice(a, 2048) for whole in batches for a in range(0, whole.num_rows, 2048)):
             sizes, marks, keys = [], [], []
-            for codes in shingle_sets(batch.column("text")):
+            for codes in shingle_sets(batch.column("text"), shingle):
                 sizes.append(len(codes))
                 marks.append(hashlib.blake2b(codes.tobytes(), digest_size=16).digest() if len(codes) else None)
                 keys.append(band_keys(signature(codes, bands * rows), bands, rows) if len(codes) else none)
@@ -122,21 +126,20 @@ def _sieve(ids: DataFrame) -> np.ndarray:
     return total
 
 
-def _sets_of(shared):
+def _sets_of(shared, shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sieve = shared.value
         for batch in batches:
             hit = sieve[_sieve_places(batch.column("doc_id").to_numpy(), len(sieve))].all(axis=0)
-            yield from _sets(iter([batch.filter(pa.array(hit))]))
+            yield from _sets(batch.filter(pa.array(hit)), shingle)
 
     return run
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for a in range(0, batch.num_rows, 1024):
-            part = batch.slice(a, 1024)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), _lists(list(shingle_sets(part.column("text"))), pa.int64())], names=["doc_id", "codes"])
+def _sets(batch: pa.RecordBatch, shingle: int) -> Iterator[pa.RecordBatch]:
+    for a in range(0, batch.num_rows, 1024):
+        part = batch.slice(a, 1024)
+        yield pa.RecordBatch.from_arrays([part.column("doc_id"), _lists(list(shingle_sets(part.column("text"), shingle)), pa.int64())], names=["doc_id", "codes"])
 
 
 def _entries(sets: pd.Series) -> tuple[np.ndarray, np.ndarray]:
@@ -186,13 +189,13 @@ def _compare(percent: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80, bands: int = BANDS, rows: int = ROWS, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable over links), kept (doc_id = component_id).
 
     Two documents are linked if 100 * intersection >= percent * union of their shingle sets.
     """
     docs = documents_of(docs, id_col, text_col)
-    signed = saved(docs.mapInArrow(_signed(bands, rows), "doc_id long, n long, mark binary, keys array<long>"))
+    signed = saved(docs.mapInArrow(_signed(bands, rows, shingle), "doc_id long, n long, mark binary, keys array<long>"))
     full = signed.where("doc_id is not null and n > 0")
     classes = full.groupBy("mark").agg(F.min("doc_id").alias("rep"))
     filed = signed.select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.col("mark")).alias("mark")).join(classes, "mark", "left")
@@ -203,7 +206,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ids = saved(stars.select("doc_id").unionByName(stars.select(F.col("hub").alias("doc_id"))).distinct())
     # Texts are not shuffled: a sieve leaves hardly more than the documents wanted, whose sets are then joined.
     sieve = docs.sparkSession.sparkContext.broadcast(_sieve(ids))
-    sets = saved(docs.where("doc_id is not null").mapInArrow(_sets_of(sieve), "doc_id long, codes array<long>").join(ids, "doc_id", "left_semi"))
+    sets = saved(docs.where("doc_id is not null").mapInArrow(_sets_of(sieve, shingle), "doc_id long, codes array<long>").join(ids, "doc_id", "left_semi"))
     of = lambda name: sets.select(F.col("doc_id").alias(name), F.col("codes").alias(f"{name}_codes"))
     shared = F.size(F.array_intersect("a_codes", "b_codes"))
     pairs = stars.select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).join(of("b"), "b").join(of("a"), "a")
@@ -216,14 +219,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
 
 
-def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
+def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80, shingle: int = SHINGLE) -> DataFrame:
     """docs, with all their columns, without documents that are not their group's smallest doc_id.
 
     Of rows that repeat both doc_id and text one stays; rows without a doc_id all stay. Texts of
     documents that a sieve shows to stay are not shuffled; the rest is decided by an exact join.
     """
     names = docs.columns
-    found = near_duplicates(docs, id_col, text_col, percent).where("doc_id is not null")
+    found = near_duplicates(docs, id_col, text_col, percent, shingle=shingle).where("doc_id is not null")
     decided = found.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("n")).where("not kept or n > 1")
     decided = saved(decided)
     sieve = docs.sparkSession.sparkContext.broadcast(_sieve(decided.select("doc_id")))

@@ -28,7 +28,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=2)
 
 
 def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
