@@ -42,3 +42,11 @@ def test_near_duplicates_are_of_five_words(spark):
     got = {x.doc_id for x in STAGES["near_duplicates"](spark, d, "").collect()}
     assert got == brute_kept(rows, 5)
     assert got != brute_kept(rows, 2)
+
+
+def test_line_on_a_tenth_of_a_large_source_goes(spark):
+    rows = [(k, f"own {k}" + "\nshared menu" * (k % 10 == 0) + "\nseldom" * (k % 25 == 0), "s", 0) for k in range(1000)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars int")
+    got = STAGES["lines"](spark, d, "").collect()
+    assert {x.doc_id: x.text for x in got} == {k: t.replace("\nshared menu", "") for k, t, _, _ in rows}
+    assert all(x.n_chars == len(x.text) for x in got if x.doc_id % 10 == 0)
