@@ -20,7 +20,7 @@ LINE_RATIO = 0.06
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts in no learned language: null, or without a letter."""
+    """Drops texts in no learned language: null, without a letter, or parsed into too many phrases by every language."""
     return language.in_known_language(docs, language.fitted(docs))
 
 

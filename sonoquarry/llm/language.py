@@ -13,6 +13,10 @@ The sample: per language the labelled documents with the smallest hashed ids, DO
 SAMPLE bytes of their normalised text. These are the operator's bounds for fitting; memory of an
 automaton follows from them. score = 1 - best / second best phrase count, 0 for ties.
 
+in_known_language keeps the texts that learned languages fit: those whose phrases, each block parsed against
+its best language, less one for each block, are at most FIT a byte plus SLACK. So texts of several learned
+languages stay; SLACK spares short texts, which are too short to tell.
+
 Defined results: null texts and texts without any letter give `und` and score 0; without any labelled
 text all give `und`; with one language all lettered texts get it with score 1; null lang is no label;
 repeated rows each return a row; an empty table returns an empty table. Other columns are not read.
@@ -31,6 +35,7 @@ from pyspark.sql import functions as F
 from sonoquarry.llm.shared import documents_of, filtered_rows
 
 SAMPLE, DOCS, BLOCK = 16_000, 64, 512
+FIT, SLACK = 0.32, 8
 _LETTER = re.compile(r"[^\W\d_]")
 _OTHER = re.compile(r"[\W\d_]+")
 _LANES = 1 << 17
@@ -98,8 +103,12 @@ class Automata:
 
     def phrases(self, texts: list[bytes]) -> np.ndarray:
         """Longest-match phrases of each text against each language: texts x languages."""
+        return self.parsed(texts)[0]
+
+    def parsed(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Phrases as above, and of each text the phrases if every block takes its best language."""
         n = len(self.languages)
-        out = np.zeros((len(texts), n), np.int64)
+        out, fewest = np.zeros((len(texts), n), np.int64), np.zeros(len(texts), np.int64)
         sizes = np.array([len(t) for t in texts])
         data = self.symbol[np.frombuffer(b"".join(texts), np.uint8)]
         blocks = -(-sizes // BLOCK)
@@ -111,8 +120,10 @@ class Automata:
         owner, start, length = owner[by], start[by], length[by]
         for a in range(0, len(owner), max(1, _LANES // n)):
             b = min(len(owner), a + max(1, _LANES // n))
-            np.add.at(out, owner[a:b], self._walk(data, start[a:b], length[a:b]))
-        return out
+            walked = self._walk(data, start[a:b], length[a:b])
+            np.add.at(out, owner[a:b], walked)
+            np.add.at(fewest, owner[a:b], walked.min(axis=1))
+        return out, fewest
 
     def _walk(self, data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
         """Phrases of blocks that are sorted by falling length: blocks x languages."""
@@ -154,6 +165,24 @@ def labelled_sample(docs: DataFrame, label: Column, part: Column, docs_per_langu
     return {k: v for k, v in samples.items() if v}
 
 
+def _judged(model: Automata, texts: list) -> tuple[list[str], list[float], np.ndarray]:
+    """Of each text the language, the score, and whether learned languages fit it."""
+    names, scores, fits = ["und"] * len(texts), [0.0] * len(texts), np.zeros(len(texts), bool)
+    rows = [k for k, t in enumerate(texts) if t and _LETTER.search(t)] if model.languages else []
+    if rows:
+        plain = [normalised(texts[k]) for k in rows]
+        sizes = np.array([len(t) for t in plain])
+        found, fewest = model.parsed(plain)
+        best = found.argmin(axis=1)
+        least = found.min(axis=1)
+        fits[rows] = fewest + sizes // -BLOCK <= FIT * sizes + SLACK
+        found[np.arange(len(rows)), best] = np.iinfo(np.int64).max
+        score = 1 - least / found.min(axis=1)
+        for k, i, x in zip(rows, best.tolist(), score.tolist(), strict=True):
+            names[k], scores[k] = model.languages[i], x
+    return names, scores, fits
+
+
 def identify(docs: DataFrame, samples: dict[str, bytes], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, lang_pred and score of every text."""
     docs = documents_of(docs, id_col, text_col)
@@ -164,28 +193,19 @@ def identify(docs: DataFrame, samples: dict[str, bytes], id_col: str = "doc_id",
         for whole in batches:
             for a in range(0, whole.num_rows, 1024):
                 batch = whole.slice(a, 1024)
-                texts = batch.column("text").to_pylist()
-                rows = [k for k, t in enumerate(texts) if t and _LETTER.search(t)] if model.languages else []
-                names, scores = ["und"] * len(texts), [0.0] * len(texts)
-                if rows:
-                    found = model.phrases([normalised(texts[k]) for k in rows])
-                    best = found.argmin(axis=1)
-                    least = found.min(axis=1)
-                    found[np.arange(len(rows)), best] = np.iinfo(np.int64).max
-                    score = 1 - least / found.min(axis=1)
-                    for k, i, x in zip(rows, best.tolist(), score.tolist(), strict=True):
-                        names[k], scores[k] = model.languages[i], x
+                names, scores, _ = _judged(model, batch.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=["doc_id", "lang_pred", "score"])
 
     return docs.mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
 def in_known_language(docs: DataFrame, samples: dict[str, bytes], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows, with all their columns, whose text gets a language: what would be `und` goes."""
-    some = bool(samples)
+    """The rows, with all their columns, whose text gets a language and is fitted by learned ones, judged in the parse of `identify`."""
+    shared = docs.sparkSession.sparkContext.broadcast(Automata(samples))
 
     def keep(batch: pa.RecordBatch) -> np.ndarray:
-        return np.array([some and bool(t) and _LETTER.search(t) is not None for t in batch.column("text").to_pylist()], bool)
+        texts = batch.column("text").to_pylist()
+        return np.concatenate([np.zeros(0, bool), *(_judged(shared.value, texts[a : a + 1024])[2] for a in range(0, len(texts), 1024))])
 
     return filtered_rows(docs, keep, id_col, text_col)
 

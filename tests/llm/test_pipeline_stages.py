@@ -50,3 +50,17 @@ def test_line_on_a_tenth_of_a_large_source_goes(spark):
     got = STAGES["lines"](spark, d, "").collect()
     assert {x.doc_id: x.text for x in got} == {k: t.replace("\nshared menu", "") for k, t, _, _ in rows}
     assert all(x.n_chars == len(x.text) for x in got if x.doc_id % 10 == 0)
+
+
+def test_texts_in_no_learned_language_go(spark):
+    r = random.Random(5)
+    words = {"en": "the and house water river over under where small great".split(), "fr": "le la maison rivière où petit grand sous vers été".split()}
+    prose = lambda lang, n: " ".join(r.choice(words[lang]) for _ in range(n))
+    rows = [(k, prose(lang, 60), lang) for k in range(120) for lang in [r.choice(["en", "fr"])]]
+    strange = "".join(r.choice("bcdfgjkqvwxyz ") for _ in range(400))
+    gone = [(200, "Съешь же ещё этих мягких французских булок " * 5, "en"), (201, strange, None), (202, "12 34", "en"), (203, None, "fr"), (204, "", None)]
+    stay = [(300, prose("en", 900), None), (301, prose("fr", 400) + " " + prose("en", 400), None), (302, "ok", None), (None, prose("fr", 30), None), (5, rows[5][1], "en")]
+    d = spark.createDataFrame(rows + gone + stay, "doc_id long, text string, lang string")
+    got = STAGES["language"](spark, d, "").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(rows + stay, key=str)
+    assert STAGES["language"](spark, d.limit(0), "").collect() == []
