@@ -91,8 +91,8 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.v = vocabulary
         self.ids_of: dict[str, str] = {}
-        self.pieces_of: dict[str, str] = {}
         self.id_text = {s: str(i) for s, i in vocabulary.ids.items()}
+        self.piece_of = {str(i): s for i, s in vocabulary.pieces.items()}
         self.meets: dict[tuple[str, str], bool] = {}
         self.right: dict[str, list[tuple[str, int]]] = {}
         self.left: dict[str, list[tuple[str, int]]] = {}
@@ -102,7 +102,7 @@ class Encoder:
 
     def forget(self) -> None:
         """Empties all tables; what they held is found again when needed."""
-        for table in (self.ids_of, self.pieces_of, self.meets, self.right, self.left):
+        for table in (self.ids_of, self.meets, self.right, self.left):
             table.clear()
 
     def _edge(self, token: str, side: int) -> list[tuple[str, int]]:
@@ -162,16 +162,14 @@ class Encoder:
             else:
                 raise ValueError(f"{word!r} has a symbol outside the vocabulary")
             if start == 0:
-                self.ids_of[original], self.pieces_of[original] = ids[token], token
+                self.ids_of[original] = ids[token]
             else:
                 tokens = [token]
                 while start:
                     token = path[start]
                     tokens.append(token)
                     start -= len(token)
-                tokens.reverse()
-                self.ids_of[original] = " ".join([ids[t] for t in tokens])
-                self.pieces_of[original] = " ".join(tokens)
+                self.ids_of[original] = " ".join([ids[t] for t in reversed(tokens)])
             before = word
 
     def _words(self, text: str) -> list[str]:
@@ -186,8 +184,8 @@ class Encoder:
         plain = self.library.normalizer.normalize_str(text)
         return [bytes(codes[c] for c in w).decode("utf-8", "surrogateescape") for w, _ in self.library.pre_tokenizer.pre_tokenize_str(plain)]
 
-    def encode(self, texts: list[str | None]) -> Iterator[tuple[int, str, str]]:
-        """For each text: the number of tokens, their ids and their pieces, each joined by one space."""
+    def encode(self, texts: list[str | None]) -> Iterator[tuple[int, str]]:
+        """For each text: the number of tokens and their ids, joined by one space."""
         a = 0
         while a < len(texts):
             part, size, fresh = [], 0, set()
@@ -209,17 +207,16 @@ class Encoder:
             if missing:
                 if len(self.ids_of) + len(missing) > _TABLE_WORDS:  # words of this part stay: frequent ones are among them
                     stay = fresh.difference(missing)
-                    self.ids_of, self.pieces_of = {w: self.ids_of[w] for w in stay}, {w: self.pieces_of[w] for w in stay}
+                    self.ids_of = {w: self.ids_of[w] for w in stay}
                 self.learn(missing)
-            ids_of, pieces_of, special = self.ids_of.__getitem__, self.pieces_of.__getitem__, self.v.special
+            ids_of, special = self.ids_of.__getitem__, self.v.special
             for pieces in part:
                 ids = " ".join([" ".join(map(ids_of, x)) if isinstance(x, list) else str(special[x]) for x in pieces if x])
-                shown = " ".join([" ".join(map(pieces_of, x)) if isinstance(x, list) else x for x in pieces if x])
-                yield ids.count(" ") + (ids != ""), ids, shown
+                yield ids.count(" ") + (ids != ""), ids
 
     def decode(self, ids: str) -> str:
         """Text of ids that stand in a string, parted by spaces."""
-        return " ".join([self.v.pieces[int(i)] for i in ids.split()])
+        return " ".join(map(self.piece_of.__getitem__, ids.split()))
 
 
 @lru_cache(maxsize=2)
@@ -264,16 +261,16 @@ def _mapped(docs: DataFrame, vocabulary: str, id_col: str, text_col: str, schema
 
 
 def _ids(encoder: Encoder, texts: list) -> dict[str, pa.Array]:
-    found = [[int(i) for i in ids.split()] for _, ids, _ in encoder.encode(texts)]
+    found = [[int(i) for i in ids.split()] for _, ids in encoder.encode(texts)]
     return {"ids": pa.array(found, pa.list_(pa.int32()))}
 
 
 def _digests(encoder: Encoder, texts: list) -> dict[str, pa.Array]:
     n, sums, texts_out = [], [], []
-    for count, ids, pieces in encoder.encode(texts):
+    for count, ids in encoder.encode(texts):
         n.append(count)
         sums.append(hashlib.sha256(ids.encode()).hexdigest())
-        texts_out.append(hashlib.sha256(pieces.encode()).hexdigest())
+        texts_out.append(hashlib.sha256(encoder.decode(ids).encode()).hexdigest())
     return {"n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(sums, pa.string()), "decoded_sha256": pa.array(texts_out, pa.string())}
 
 
@@ -296,5 +293,5 @@ def decode(encoded: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_col:
 
 
 def digests(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, and digests of the ids and of the decoded text, from one encoding."""
+    """doc_id, n_tokens, and digests of the ids and of the text that Encoder.decode gives for them."""
     return _mapped(docs, vocabulary, id_col, text_col, "n_tokens long, ids_sha256 string, decoded_sha256 string", _digests)

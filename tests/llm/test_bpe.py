@@ -42,3 +42,12 @@ def test_small_table_changes_nothing(monkeypatch):
     monkeypatch.setattr(op, "_TABLE_WORDS", 7)
     monkeypatch.setattr(op, "_SLICE_CHARS", 50)
     assert list(op.Encoder(v).encode(texts())) == want
+
+
+def test_decoded_text_comes_from_the_ids(monkeypatch):
+    encoder = op.Encoder(op.Vocabulary(PATH))
+    whole = op.Encoder.decode
+    monkeypatch.setattr(op.Encoder, "decode", lambda self, ids: whole(self, ids)[::-1])
+    got = op._digests(encoder, ["some text", None])["decoded_sha256"].to_pylist()
+    want = [whole(encoder, ids)[::-1] for _, ids in encoder.encode(["some text", None])]
+    assert got == [hashlib.sha256(x.encode()).hexdigest() for x in want]
