@@ -7,15 +7,22 @@ depth-first order of their trie: a stack holds the states on the path from the r
 what the next word shares with it and extended by the rest. A token may follow another only if the
 merges would never cross the place where they meet; this depends on the two tokens alone.
 
-Words seen before are looked up in a table of bounded size. When full it is cut down to the words at
-hand, and it is emptied at the end of each task: the size changes the time, never a result.
+Which tokens can end at a prefix is read off an automaton of all tokens that walks along with the
+stack: one step a symbol gives the tokens that end there, longest first. The end of a word is a symbol
+of its own there, and the tokens that carry the vocabulary's word end are filed with it.
+
+Words seen before are looked up in a table of bounded size. When it is full a new one takes its place
+and the full one is kept behind it until the next change, so that words that recur are carried over:
+the size changes the time, never a result.
 
 Texts of Latin letters and punctuation are split here; for other scripts the normaliser and splitter
 come from the vocabulary file through the tokenizers library. Special tokens standing in a text become
-their ids, as in that library. Encoding is exact: tests hold it against the library.
+their ids, as in that library. Encoding is exact: tests hold it against the library. Decoding starts
+from the ids alone.
 
 Defined results: null and empty texts have no tokens and decode to the empty text; repeated rows each
-return a row; very long words are encoded whole. Other columns are not read.
+return a row; very long words are encoded whole; a null doc_id is returned as it is. Other columns are
+not read.
 """
 
 from __future__ import annotations
@@ -33,7 +40,9 @@ from pyspark.sql import DataFrame
 from sonoquarry.llm.shared import documents_of, release
 
 _TABLE_WORDS = 100_000
+_TABLE_PAIRS = 500_000
 _SLICE_CHARS = 1 << 20
+_END = "\n"  # no printable symbol: stands for the end of a word
 # Latin letters, digits and other numbers up to U+024F, and white space there: fixed by Unicode.
 _LETTER, _NUMBER, _SPACE = "a-zªµºß-öø-ɏ", "0-9²³¹¼½¾", "\t-\r\x20\x85\xa0"
 _ODD = re.compile("[^\x00-ɏ‐-‧‰-⁞]")
@@ -66,7 +75,6 @@ class Vocabulary:
             parts = self._merged(token)
             if parts is not None or len(self._symbols(token)) == 1:
                 self.parts[token] = parts
-        self.longest = max(len(self._symbols(t)) for t in self.ids)
 
     def _symbols(self, token: str) -> list[str]:
         if token.endswith(self.end) and len(token) > len(self.end):
@@ -85,13 +93,62 @@ class Vocabulary:
         return last
 
 
+class Endings:
+    """An automaton over the tokens: after each symbol, the tokens that end there, longest first.
+
+    moves[state] has the token trie's edges; a missing one is found over the state of the next shorter
+    suffix and kept, so each is looked for once.
+    """
+
+    def __init__(self, spelt: dict[str, str]) -> None:
+        """spelt: token -> its symbols, the end of a word being _END."""
+        self.moves: list[dict[str, int]] = [{}]
+        own: list[tuple[str, int] | None] = [None]
+        for token, symbols in spelt.items():
+            at = 0
+            for c in symbols:
+                to = self.moves[at].get(c)
+                if to is None:
+                    to = self.moves[at][c] = len(self.moves)
+                    self.moves.append({})
+                    own.append(None)
+                at = to
+            own[at] = (token, len(symbols.removesuffix(_END)))
+        self.shorter = [0] * len(self.moves)
+        self.tokens: list[tuple[tuple[str, int], ...]] = [()] * len(self.moves)
+        level = [(0, c, to) for c, to in self.moves[0].items()]
+        while level:  # by length, so shorter suffixes are complete
+            below = []
+            for parent, c, state in level:
+                back = self._over(parent, c) if parent else 0
+                self.shorter[state] = back
+                self.tokens[state] = (own[state], *self.tokens[back]) if own[state] else self.tokens[back]
+                below += [(state, d, to) for d, to in self.moves[state].items()]
+            level = below
+
+    def _over(self, state: int, c: str) -> int:
+        while state:
+            state = self.shorter[state]
+            to = self.moves[state].get(c)
+            if to is not None:
+                return to
+        return 0
+
+    def step(self, state: int, c: str) -> int:
+        to = self.moves[state].get(c)
+        if to is None:
+            to = self.moves[state][c] = self._over(state, c)
+        return to
+
+
 class Encoder:
     """Encodes texts with a vocabulary."""
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.v = vocabulary
-        self.ids_of: dict[str, str] = {}
-        self.id_text = {s: str(i) for s, i in vocabulary.ids.items()}
+        self.ids_of: dict[str, str] = {}  # word -> its ids, each after one space
+        self.older: dict[str, str] = {}
+        self.id_text = {s: f" {i}" for s, i in vocabulary.ids.items()}
         self.piece_of = {str(i): s for i, s in vocabulary.pieces.items()}
         self.meets: dict[tuple[str, str], bool] = {}
         self.right: dict[str, list[tuple[str, int]]] = {}
@@ -99,11 +156,8 @@ class Encoder:
         self.symbols = byte_symbols()
         self.apart = re.compile("|".join(map(re.escape, sorted(vocabulary.special, key=len, reverse=True)))) if vocabulary.special else None
         self.library = None
-
-    def forget(self) -> None:
-        """Empties all tables; what they held is found again when needed."""
-        for table in (self.ids_of, self.meets, self.right, self.left):
-            table.clear()
+        end = vocabulary.end
+        self.endings = Endings({t: t[: -len(end)] + _END if t.endswith(end) and len(t) > len(end) else t for t in vocabulary.parts})
 
     def _edge(self, token: str, side: int) -> list[tuple[str, int]]:
         """Tokens that stood at this edge while the token was merged, and the rank that ended each."""
@@ -117,59 +171,56 @@ class Encoder:
 
     def _may_meet(self, a: str, b: str) -> bool:
         """Whether b can follow a in an encoding: no merge ever joins what stands on both sides."""
-        key = (a, b)
-        known = self.meets.get(key)
-        if known is None:
-            if a not in self.right:
-                self.right[a] = self._edge(a, 1)
-            if b not in self.left:
-                self.left[b] = self._edge(b, 0)
-            ranks = self.v.ranks
-            # Of equal ranks the leftmost is merged first: a tie with a's own merge is lost, one with b's is won.
-            known = not any((r := ranks.get((x, y))) is not None and r < x_end and r <= y_end for x, x_end in self.right[a] for y, y_end in self.left[b])
-            if len(self.meets) >= _TABLE_WORDS:
-                self.meets.clear()
-            self.meets[key] = known
+        if a not in self.right:
+            self.right[a] = self._edge(a, 1)
+        if b not in self.left:
+            self.left[b] = self._edge(b, 0)
+        ranks, left = self.v.ranks, self.left[b]
+        known = True
+        for x, x_end in self.right[a]:
+            for y, y_end in left:
+                r = ranks.get((x, y))
+                # Of equal ranks the leftmost is merged first: a tie with a's own merge is lost, one with b's is won.
+                if r is not None and r < x_end and r <= y_end:
+                    known = False
+        if len(self.meets) >= _TABLE_PAIRS:
+            self.meets.clear()
+        self.meets[a, b] = known
         return known
 
     def learn(self, words: set[str]) -> None:
         """Encode distinct words: one walk over their trie, in sorted order."""
         mapped = sorted([(w if w.isascii() and w.isprintable() else "".join([self.symbols[b] for b in w.encode()]), w) for w in words])
-        parts, meets, longest, suffix, ids = self.v.parts, self.meets, self.v.longest, self.v.end, self.id_text
-        path, before = [""], ""  # path[k]: the last token of the encoding of the first k symbols
+        tokens, moves, step = self.endings.tokens, self.endings.moves, self.endings.step
+        id_text, meets, may_meet, ids_of = self.id_text, self.meets.get, self._may_meet, self.ids_of
+        # Of the first k symbols on the path: the automaton's state, the last token of their encoding, its ids.
+        state, last, ids, before = [0], [""], [""], ""
         for word, original in mapped:
             size = len(word)
-            shared, most = 0, min(len(before), size, len(path) - 1)
+            shared, most = 0, min(len(before), size)
             while shared < most and before[shared] == word[shared]:
                 shared += 1
-            del path[shared + 1 :]
-            for end in range(shared + 1, size):
-                for start in range(max(0, end - longest), end):
-                    token = word[start:end]
-                    if token in parts:
-                        if start == 0:
-                            break
-                        known = meets.get((path[start], token))
-                        if known or known is None and self._may_meet(path[start], token):
-                            break
+            del state[shared + 1 :], last[shared + 1 :], ids[shared + 1 :]
+            at, end = state[shared], shared
+            for c in word[shared:] + _END:
+                to = moves[at].get(c)
+                at = step(at, c) if to is None else to
+                if c is not _END:
+                    end += 1
+                for token, length in tokens[at]:
+                    if length == end:
+                        break
+                    known = meets((last[end - length], token))
+                    if known or known is None and may_meet(last[end - length], token):
+                        break
                 else:
                     raise ValueError(f"{word!r} has a symbol outside the vocabulary")
-                path.append(token)
-            for start in range(max(0, size - longest), size):
-                token = word[start:] + suffix
-                if token in parts and (start == 0 or self._may_meet(path[start], token)):
-                    break
-            else:
-                raise ValueError(f"{word!r} has a symbol outside the vocabulary")
-            if start == 0:
-                self.ids_of[original] = ids[token]
-            else:
-                tokens = [token]
-                while start:
-                    token = path[start]
-                    tokens.append(token)
-                    start -= len(token)
-                self.ids_of[original] = " ".join([ids[t] for t in reversed(tokens)])
+                found = ids[end - length] + id_text[token]
+                if c is not _END:
+                    state.append(at)
+                    last.append(token)
+                    ids.append(found)
+            ids_of[original] = found
             before = word
 
     def _words(self, text: str) -> list[str]:
@@ -205,14 +256,16 @@ class Encoder:
                         fresh.update(words)
             missing = fresh.difference(self.ids_of)
             if missing:
-                if len(self.ids_of) + len(missing) > _TABLE_WORDS:  # words of this part stay: frequent ones are among them
-                    stay = fresh.difference(missing)
-                    self.ids_of = {w: self.ids_of[w] for w in stay}
-                self.learn(missing)
+                if len(self.ids_of) + len(missing) > _TABLE_WORDS:
+                    self.older, self.ids_of = self.ids_of, {}
+                    missing = fresh
+                known = missing.intersection(self.older)
+                self.ids_of.update(zip(known, map(self.older.__getitem__, known)))
+                self.learn(missing.difference(known))
             ids_of, special = self.ids_of.__getitem__, self.v.special
             for pieces in part:
-                ids = " ".join([" ".join(map(ids_of, x)) if isinstance(x, list) else str(special[x]) for x in pieces if x])
-                yield ids.count(" ") + (ids != ""), ids
+                ids = "".join(["".join(map(ids_of, x)) if isinstance(x, list) else f" {special[x]}" for x in pieces])
+                yield ids.count(" "), ids[1:]
 
     def decode(self, ids: str) -> str:
         """Text of ids that stand in a string, parted by spaces."""
@@ -249,12 +302,11 @@ def _mapped(docs: DataFrame, vocabulary: str, id_col: str, text_col: str, schema
         encoder = _encoder(load.key, load)
         try:
             for whole in batches:
-                for a in range(0, whole.num_rows, 512):
-                    batch = whole.slice(a, 512)
+                for a in range(0, whole.num_rows, 1024):
+                    batch = whole.slice(a, 1024)
                     columns = row(encoder, batch.column("text").to_pylist())
                     yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns.values()], names=["doc_id", *columns])
         finally:  # the worker lives on and serves other operators
-            encoder.forget()
             release()
 
     return docs.mapInArrow(run, f"doc_id long, {schema}")
