@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sonoquarry.config import DEFAULT, Config
 from sonoquarry.functions.text import fixed
-from sonoquarry.functions.vectors import dot
-from sonoquarry.operators.graph import registry_decisions
+from sonoquarry.operators.graph import LEFT, taken
+from sonoquarry.storage import saved
 
-BLOCK = 64
+BLOCK = 1024  # voiceprints a side of one matrix product
 
 
 def dominant(turns: DataFrame, key: str = "source_id", speaker: str = "speaker") -> DataFrame:
@@ -34,37 +38,82 @@ def file_reason(cfg: Config = DEFAULT) -> Column:
     return F.when(~F.coalesce("speaker_ran", F.lit(False)), failed).when((F.col("num_speakers") > 1) & (F.col("dominant_fraction") < cfg.dominant_fraction), many)
 
 
-def similarities(voices: DataFrame, least: float, block: int = BLOCK) -> DataFrame:
-    """later, earlier and similarity of all pairs of voiceprints (seq, embedding) at or above a threshold.
+def _met(voices: DataFrame, known: DataFrame | None, pick: Callable[[np.ndarray], np.ndarray], block: int) -> DataFrame:
+    """later, earlier and similarity where `pick` (similarities, -inf where a pair doesn't count) marks them.
 
-    Voices are dealt to blocks and blocks meet in pairs, so each voice is sent once for each block, not
-    once for each voice, and no task holds more than two blocks. An exact all-pairs search is
-    quadratic by nature; its cells are spread evenly.
+    Voices are dealt to blocks and blocks meet in pairs: one matrix product each, and only marked pairs
+    leave the task. An exact all-pairs search is quadratic by nature; its cells are spread evenly.
+    Without `known`, the voices meet each other, the later the earlier; with it they meet all known ones.
+    """
+    own = known is None
+    deal = lambda df, n, seed: df.where("embedding is not null").select("seq", F.col("embedding").cast("array<double>").alias("e"), F.pmod(F.xxhash64("seq", F.lit(seed)), F.lit(n)).cast("int").alias("at"))
+    blocks = lambda df: max(1, -(-df.where("embedding is not null").count() // block))
+    n = blocks(voices)
+    m = n if own else blocks(known)
+    left = deal(voices, n, 1).select("seq", "e", F.col("at").alias("i"), F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias("j"))
+    right = deal(voices if own else known, m, 1).select("seq", "e", F.col("at").alias("j"), F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("i"))
+
+    def run(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        if x.empty or y.empty:
+            return pd.DataFrame({"later": [], "earlier": [], "similarity": []})
+        x, y = x.sort_values("seq"), y.sort_values("seq")
+        sim = np.stack(x["e"].to_numpy()) @ np.stack(y["e"].to_numpy()).T
+        later, earlier = x["seq"].to_numpy(), y["seq"].to_numpy()
+        if own:
+            sim[earlier[None, :] >= later[:, None]] = -np.inf
+        i, j = np.nonzero(pick(sim))
+        return pd.DataFrame({"later": later[i], "earlier": earlier[j], "similarity": sim[i, j]})
+
+    right = right.toDF(*right.columns)  # columns of its own, though both sides may come from one table
+    return left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInPandas(run, "later long, earlier long, similarity double")
+
+
+def similarities(voices: DataFrame, least: float, known: DataFrame | None = None, block: int = BLOCK) -> DataFrame:
+    """later, earlier and similarity of all pairs of voiceprints (seq, embedding) at or above a threshold."""
+    return _met(voices, known, lambda sim: sim >= least, block)
+
+
+def top_match(voices: DataFrame, block: int = BLOCK) -> DataFrame:
+    """For each voice the most similar earlier one (the first registered on ties): seq, matched_seq, similarity.
+
+    Each block gives one row a voice: the first of its best, as columns are in order.
     """
-    known = voices.where("embedding is not null").select("seq", "embedding")
-    n = max(1, -(-known.count() // (block * 16)))
-    dealt = known.withColumn("_b", F.pmod(F.xxhash64("seq"), F.lit(n)).cast("int"))
-    every = F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = dealt.select(F.col("seq").alias("later"), F.col("embedding").alias("x"), F.col("_b").alias("i"), every.alias("j"))
-    right = dealt.select(F.col("seq").alias("earlier"), F.col("embedding").alias("y"), F.col("_b").alias("j"), every.alias("i"))
-    pairs = left.join(right, ["i", "j"]).where("earlier < later")
-    return pairs.select("later", "earlier", dot(F.col("x"), F.col("y")).alias("similarity")).where(F.col("similarity") >= least)
 
+    def best(sim: np.ndarray) -> np.ndarray:
+        out = np.zeros(sim.shape, bool)
+        out[np.arange(len(sim)), sim.argmax(axis=1)] = True
+        return out & (sim > -np.inf)
 
-def top_match(voices: DataFrame) -> DataFrame:
-    """For each voice the most similar earlier one (the first registered on ties): seq, matched_seq, similarity."""
-    best = similarities(voices, -2.0).groupBy("later").agg(F.max(F.struct("similarity", (-F.col("earlier")).alias("e"))).alias("m"))
-    return best.select(F.col("later").alias("seq"), (-F.col("m.e")).alias("matched_seq"), F.col("m.similarity").alias("similarity"))
+    found = _met(voices, None, best, block).groupBy("later").agg(F.max(F.struct("similarity", (-F.col("earlier")).alias("e"))).alias("m"))
+    return found.select(F.col("later").alias("seq"), (-F.col("m.e")).alias("matched_seq"), F.col("m.similarity").alias("similarity"))
 
 
-def registered(voices: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+def registered(voices: DataFrame, cfg: Config = DEFAULT, known: DataFrame | None = None, left: int = LEFT) -> DataFrame:
     """Adds decision (new, review, duplicate), matched_seq and similarity to voices (seq, embedding, ...) in seq order.
 
-    A voice without an embedding is new and matches nothing.
+    known, if given, are voices (seq, embedding) registered before all of these, whatever their numbers;
+    matched_known says that the match is one of them. A voice too like a registered one is a duplicate and is
+    not registered itself; the others are. A voice without an embedding is new and matches nothing.
     """
-    found = registry_decisions(similarities(voices, cfg.speaker_review), cfg.speaker_reject)
-    out = voices.join(found, "seq", "left")
-    return out.withColumn("decision", F.coalesce("decision", F.lit("new")))
+    near = saved(similarities(voices, cfg.speaker_review))
+    alike = near.where(F.col("similarity") >= cfg.speaker_reject)
+    matches = near.withColumn("old", F.lit(False))
+    out: DataFrame | None = None
+    if known is not None:
+        before = saved(similarities(voices, cfg.speaker_review, known))
+        out = saved(before.where(F.col("similarity") >= cfg.speaker_reject).select(F.col("later").alias("node")).distinct())
+        alike = alike.join(out.withColumnRenamed("node", "earlier"), "earlier", "left_anti").join(out.withColumnRenamed("node", "later"), "later", "left_anti")
+    gone = taken(alike.select(F.col("earlier").alias("a"), F.col("later").alias("b")), left)
+    if out is not None:
+        gone = gone.unionByName(out)
+    matches = matches.join(gone.withColumnRenamed("node", "earlier"), "earlier", "left_anti")
+    if known is not None:
+        matches = matches.unionByName(before.withColumn("old", F.lit(True)))
+    best = matches.groupBy(F.col("later").alias("seq")).agg(F.max(F.struct("similarity", "old", (-F.col("earlier")).alias("e"))).alias("m"))
+    found = best.select("seq", (-F.col("m.e")).alias("matched_seq"), F.col("m.similarity").alias("similarity"), F.col("m.old").alias("matched_known"))
+    decision = F.when(F.col("similarity") >= cfg.speaker_reject, "duplicate").when(F.col("similarity").isNotNull(), "review").otherwise("new")
+    joined = voices.join(found, "seq", "left").withColumn("decision", decision)
+    return joined if known is not None else joined.drop("matched_known")
 
 
 def registry_notes(decided: DataFrame, name: str = "source_id") -> DataFrame:

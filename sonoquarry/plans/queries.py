@@ -394,13 +394,13 @@ def q_exact_dups(spark, d):
 
 @query()
 def q_near_dups(spark, d):
-    return dedup.duplicates(V.clips(spark, d), within=["source_id"])
+    return dedup.duplicates(V.clips(spark, d))
 
 
 @query()
 def q_dedup_demote(spark, d):
     c = gates.with_reasons(V.clips(spark, d)).withColumn("status", F.lit("accepted"))
-    found = dedup.duplicates(dedup.candidates(c), within=["source_id"])
+    found = dedup.duplicates(dedup.candidates(c))
     return dedup.demoted(c, found).select("utterance_id", "status", *_joined("rejection_reasons"))
 
 

@@ -181,8 +181,10 @@ def test_leader_clusters_are_not_components(spark):
             if group:
                 used.update(group, [i])
                 want += [(i, j) for j in group]
-    got = graph.leader_clusters(spark.createDataFrame(sorted(edges), "a long, b long")).collect()
-    assert sorted(map(tuple, got)) == sorted(want)
+    for left in (200_000, 0):  # in one loop, and in rounds to the end
+        got = graph.leader_clusters(spark.createDataFrame(sorted(edges), "a long, b long"), left).collect()
+        assert sorted(map(tuple, got)) == sorted(want)
+    assert graph.leader_clusters(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
 def test_registry(spark):
@@ -199,6 +201,10 @@ def test_registry(spark):
             registry.append((k, v))
     cfg = replace(DEFAULT, speaker_reject=0.9, speaker_review=0.6)
     d = spark.createDataFrame(rows, "seq long, source_id string, embedding array<float>")
+    assert sorted((x.seq, x.decision, x.matched_seq) for x in speakers.registered(d, cfg, left=0).collect()) == want
+    best = {x.seq: (x.matched_seq, round(x.similarity, 9)) for x in speakers.top_match(d, block=7).collect()}
+    plain = [np.array(v, np.float32).astype(float) for v in vectors]
+    assert best == {k: (-s[1], round(s[0], 9)) for k in range(1, 60) for s in [max((float(plain[k] @ plain[j]), -j) for j in range(k))]}
     out = speakers.registry_notes(speakers.registered(d, cfg))
     assert sorted((x.seq, x.decision, x.matched_seq) for x in out.collect()) == want
     assert {x.decision for x in out.where("file_reason is not null").collect()} == {"duplicate"}
@@ -210,7 +216,7 @@ def test_near_duplicates(spark):
     rows = []
     for k in range(40):
         t = list(r.choice(base))
-        for _ in range(r.randint(0, 6)):
+        for _ in range(r.choice([0, 0, 1, 3, 6])):
             t[r.randrange(len(t))] = r.choice("xyz")
         rows.append((k, f"u{k}", "".join(t), r.choice([5.0, 5.5, 7.0]), "a.wav" if k != 7 else ""))
     norm = [" ".join("".join(c for c in t if c.isalnum() or c.isspace() or c == "_").split()) for _, _, t, _, _ in rows]
@@ -223,8 +229,9 @@ def test_near_duplicates(spark):
             used.update(group, [i])
             want += [(i, j) for j in group]
     d = spark.createDataFrame(rows, "seq long, utterance_id string, text string, duration_sec double, audio_path string").withColumns({"status": F.lit("accepted"), "rejection_reasons": F.array().cast("array<string>")})
-    found = dedup.duplicates(dedup.candidates(d))
-    assert sorted(map(tuple, found.collect())) == sorted(want)
+    for sizes in ({}, {"rows": 3, "left": 0}, {"size": 200}):  # whole, and in small blocks and rounds
+        found = dedup.duplicates(dedup.candidates(d), **sizes)
+        assert sorted(map(tuple, found.collect())) == sorted(want)
     out = {x.seq: x for x in dedup.demoted(d, found).collect()}
     assert {k: x.rejection_reasons for k, x in out.items() if x.status == "rejected"} == {j: [f"duplicate_of:u{i}"] for i, j in want}
 
@@ -295,20 +302,24 @@ def test_signal():
     assert len(signal.padded(tone, rate, 0.5, 0.5)) == 3 * rate and len(signal.tiled(tone[:10], 25)) == 30 and len(signal.resampled(tone, rate, 8000)) == rate
 
 
-def test_ratio_bound_never_hides_a_match():
+def test_ratio_bounds_never_hide_a_match():
     from sonoquarry.functions import vectors
 
     r = random.Random(11)
     for _ in range(600):
-        a = "".join(r.choice("abcd e") for _ in range(r.randint(0, 60)))
+        a = "".join(r.choice("abcd e") for _ in range(r.randint(0, 260)))
         b = list(a)
         for _ in range(r.randint(0, 8)):
             k = r.randrange(len(b) + 1)
             b[k : k + r.randint(0, 1)] = r.choice(["", "x", "ab"])
         b = "".join(b)
+        shared = vectors.shared_counts([vectors.gram_codes(a), vectors.gram_codes("abcd")], [vectors.gram_codes(b)], at_once=r.choice([1, 50, 10_000]))[0, 0]
+        grams = [[t[i : i + 5] for i in range(len(t) - 4)] for t in (a, b)]
+        assert shared == sum(min(grams[0].count(g), grams[1].count(g)) for g in set(grams[0]))
         for least in (0.7, 0.92):
             if SequenceMatcher(None, a, b).ratio() >= least:
-                assert vectors._may_reach(a, b, vectors._profile(a), vectors._profile(b), least)
+                assert vectors.subsequence_reaches(a, b, least)
+                assert shared >= vectors.grams_needed(np.array(float(len(a))), np.array(float(len(b))), least)
 
 
 def test_timestamp_lines(spark):
