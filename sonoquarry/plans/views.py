@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sonoquarry.config import Config
 from sonoquarry.operators import gates
+from sonoquarry.storage import spread
 
 #: Voiceprints of the test tables are random, so the default thresholds would never be met.
 VOICES = Config(speaker_reject=0.35, speaker_review=0.25)
@@ -18,7 +19,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def clips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents")
+    d = spread(table(spark, sf_dir, "documents"), "doc_id")
     n = F.col("doc_id")
     return d.select(
         n.alias("seq"), F.concat("source", F.lit("__"), n.cast("string")).alias("utterance_id"), F.col("source").alias("source_id"), F.concat("source", F.lit(".wav")).alias("source_filename"),

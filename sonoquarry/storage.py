@@ -35,3 +35,9 @@ def exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     found = target.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(target)
     return found is not None and len(found) > 0
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """df, dealt by its keys over the session's cores if it comes in fewer partitions, as one small file does."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
