@@ -5,23 +5,25 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType, StructField, StructType
 
 
 def mono(samples: np.ndarray) -> np.ndarray:
     return samples if samples.ndim == 1 else samples.mean(axis=1)
 
 
-def flatness(frame: np.ndarray, eps: float = 1e-10) -> float:
-    """Geometric over arithmetic mean of the windowed power spectrum."""
-    if len(frame) < 2:
-        return 1.0
-    power = np.abs(np.fft.rfft(frame * np.hanning(len(frame)))) ** 2 + eps
-    return float(np.exp(np.mean(np.log(power))) / np.mean(power))
+def flatness(frames: np.ndarray, eps: float = 1e-10) -> np.ndarray:
+    """Geometric over arithmetic mean of each row's windowed magnitude spectrum; 1 for rows too short to tell."""
+    frames = np.atleast_2d(frames)
+    if frames.shape[1] < 8:
+        return np.ones(len(frames))
+    magnitude = np.abs(np.fft.rfft(frames * np.hanning(frames.shape[1]), axis=1)) + eps
+    return np.exp(np.log(magnitude).mean(axis=1)) / magnitude.mean(axis=1)
 
 
-def level_db(frame: np.ndarray) -> float:
-    return float(20 * np.log10(max(np.sqrt(np.mean(np.square(frame, dtype=np.float64)) + 1e-12), 1e-9)))
+def level_db(frames: np.ndarray) -> np.ndarray:
+    power = np.square(np.atleast_2d(frames), dtype=np.float64).mean(axis=1)
+    return 20 * np.log10(np.maximum(np.sqrt(power + 1e-12), 1e-9))
 
 
 def frame_levels(samples: np.ndarray, rate: int, frame_ms: float = 25.0, hop_ms: float = 10.0) -> tuple[np.ndarray, np.ndarray]:
@@ -37,14 +39,17 @@ def frame_levels(samples: np.ndarray, rate: int, frame_ms: float = 25.0, hop_ms:
 
 
 def clip_background(samples: np.ndarray, rate: int, frame_ms: float = 32.0) -> tuple[float, float, float]:
-    """Speech level (p75), own floor (p10) and mean flatness over frames that don't overlap."""
+    """Speech level (p75), own floor (p10) and mean flatness over frames that don't overlap.
+
+    What is left over after the last whole frame is not heard; a clip shorter than a frame is one, if it has half of one.
+    """
     size = max(256, int(rate * frame_ms / 1000))
-    frames = [samples[k * size : (k + 1) * size] for k in range(max(1, len(samples) // size))]
-    frames = [f for f in frames if len(f) >= size // 2]
-    if not frames:
+    n = len(samples) // size
+    frames = samples[: n * size].reshape(n, size) if n else samples[None, :]
+    if frames.shape[1] < size // 2:
         return -20.0, -60.0, 1.0
-    levels = [level_db(f) for f in frames]
-    return float(np.percentile(levels, 75)), float(np.percentile(levels, 10)), float(np.mean([flatness(f) for f in frames]))
+    levels = level_db(frames)
+    return float(np.percentile(levels, 75)), float(np.percentile(levels, 10)), float(flatness(frames).mean())
 
 
 def _biquad(b: tuple, a: tuple, x: np.ndarray) -> np.ndarray:
@@ -112,13 +117,53 @@ def resampled(samples: np.ndarray, rate: int, wanted: int) -> np.ndarray:
     return np.interp(np.arange(n) * rate / wanted, np.arange(len(samples)), samples)
 
 
-_BACKGROUND = StructType([StructField(name, DoubleType()) for name in ("speech_level_dbfs", "clip_floor_dbfs", "flatness")])
+def _mel(hz: np.ndarray) -> np.ndarray:
+    """Mel scale that is linear below 1000 Hz and logarithmic above."""
+    hz = np.asarray(hz, np.float64)
+    return np.where(hz < 1000, hz * 3 / 200, 15 + 27 * np.log(np.maximum(hz, 1000) / 1000) / np.log(6.4))
+
+
+def _hz(mel: np.ndarray) -> np.ndarray:
+    return np.where(mel < 15, mel * 200 / 3, 1000 * np.exp(np.log(6.4) * (np.maximum(mel, 15) - 15) / 27))
+
+
+def fingerprint(samples: np.ndarray, rate: int, wanted: int = 16_000, size: int = 2048, hop: int = 512, bands: int = 128, kept: int = 13) -> np.ndarray:
+    """Mean mel-frequency cepstrum of a clip: 13 numbers that say what it sounds like as a whole."""
+    x = np.pad(resampled(samples, rate, wanted), size // 2)
+    frames = np.lib.stride_tricks.sliding_window_view(x, size)[::hop]
+    window = 0.5 - 0.5 * np.cos(2 * np.pi * np.arange(size) / size)
+    edges = _hz(np.linspace(0, _mel(wanted / 2), bands + 2))
+    at = np.arange(size // 2 + 1) * wanted / size
+    rise, fall = (at - edges[:-2, None]) / np.diff(edges)[:-1, None], (edges[2:, None] - at) / np.diff(edges)[1:, None]
+    filters = np.maximum(0, np.minimum(rise, fall)) * (2 / (edges[2:] - edges[:-2]))[:, None]
+    level = np.concatenate([10 * np.log10(np.maximum(1e-10, np.abs(np.fft.rfft(frames[k : k + 256] * window, axis=1)) ** 2 @ filters.T)) for k in range(0, len(frames), 256)])
+    level = np.maximum(level, level.max() - 80)
+    turn = np.cos(np.pi * np.arange(kept)[:, None] * (2 * np.arange(bands) + 1) / (2 * bands)) * np.sqrt(2 / bands)
+    turn[0] /= np.sqrt(2)
+    return (level @ turn.T).mean(axis=0)
+
+
+_BACKGROUND = StructType([*(StructField(name, DoubleType()) for name in ("speech_level_dbfs", "clip_floor_dbfs", "flatness")), StructField("empty", BooleanType())])
 
 
 @pandas_udf(_BACKGROUND)
 def background_of(samples: pd.Series, rate: pd.Series) -> pd.DataFrame:
-    rows = [clip_background(np.asarray(x, np.float64), int(r)) if x is not None and len(x) else (-80.0, -80.0, 1.0) for x, r in zip(samples, rate, strict=True)]
-    return pd.DataFrame(rows, columns=["speech_level_dbfs", "clip_floor_dbfs", "flatness"])
+    """Levels and flatness of a clip; null or no samples give the lowest levels and empty = true."""
+    silent = (-80.0, -80.0, 1.0, True)
+    rows = [(*clip_background(np.asarray(x, np.float64), int(r)), False) if x is not None and len(x) else silent for x, r in zip(samples, rate, strict=True)]
+    return pd.DataFrame(rows, columns=[f.name for f in _BACKGROUND.fields])
+
+
+@pandas_udf(ArrayType(StructType([StructField("t", DoubleType()), StructField("dbfs", DoubleType())])))
+def frames_of(samples: pd.Series, rate: pd.Series) -> pd.Series:
+    """Start times and levels of a recording's overlapping frames, of 25 ms every 10 ms."""
+    return pd.Series([[] if x is None else [{"t": t, "dbfs": v} for t, v in zip(*(a.tolist() for a in frame_levels(np.asarray(x, np.float64), int(r))), strict=True)] for x, r in zip(samples, rate, strict=True)])
+
+
+@pandas_udf(ArrayType(DoubleType()))
+def fingerprint_of(samples: pd.Series, rate: pd.Series) -> pd.Series:
+    """Mean of the mel-frequency cepstrum over a clip's frames; null without samples."""
+    return pd.Series([None if x is None or not len(x) else fingerprint(np.asarray(x, np.float64), int(r)).tolist() for x, r in zip(samples, rate, strict=True)])
 
 
 @pandas_udf(DoubleType())

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sonoquarry.config import DEFAULT, Config
+from sonoquarry.functions.text import fixed
 from sonoquarry.functions.vectors import dbfs
 
 
@@ -50,19 +51,21 @@ def clip_levels(frames: DataFrame, key: str = "utterance_id") -> DataFrame:
 def background_verdict(clips: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """Adds est_snr_db, background_verdict and background_reasons.
 
-    clips: speech_level_dbfs, clip_floor_dbfs, flatness, file_floor_dbfs (null where unknown). A low ratio
-    or tonal sound counts only with a floor that is high for the file and loud in itself.
+    clips: speech_level_dbfs, clip_floor_dbfs, flatness, file_floor_dbfs (null where unknown), and empty if
+    there may be clips without samples, which are rejected. A low ratio or tonal sound counts only with a
+    floor that is high for the file and loud in itself.
     """
     own, of_file = F.col("clip_floor_dbfs"), F.col("file_floor_dbfs")
+    nothing = F.coalesce("empty", F.lit(False)) if "empty" in clips.columns else F.lit(False)
     raised: Column = F.coalesce((own > of_file + 12.0) & (own > -50.0), F.lit(False))
-    snr = F.col("speech_level_dbfs") - F.coalesce(of_file, own)
+    snr = F.when(nothing, 0.0).otherwise(F.col("speech_level_dbfs") - F.coalesce(of_file, own))
     out = clips.withColumns({"est_snr_db": snr, "_raised": raised})
     low = (F.col("est_snr_db") < cfg.snr_reject_db) & F.col("_raised")
     music, broad = F.col("_raised") & (F.col("flatness") < cfg.music_flatness), F.col("_raised") & (F.col("flatness") > cfg.broadband_flatness)
-    reasons = F.when(low, F.array(F.lit("low_snr_with_elevated_noise_floor"))).otherwise(
-        F.array_compact(F.array(F.when(music, "elevated_noise_floor_with_tonal_content_suggests_background_music"), F.when(broad, "elevated_noise_floor_with_broadband_content_suggests_noise_or_crowd")))
-    )
-    verdict = F.when(low, "reject").when(music | broad, "review").otherwise("clean")
+    tonal_or_broad = F.array_compact(F.array(F.when(music, "elevated_noise_floor_with_tonal_content_suggests_background_music"), F.when(broad, "elevated_noise_floor_with_broadband_content_suggests_noise_or_crowd")))
+    weak = F.array(F.concat(F.lit("estimated_snr_"), fixed(F.col("est_snr_db"), 1), F.lit("dB_with_elevated_noise_floor")))
+    reasons = F.when(nothing, F.array(F.lit("empty_audio"))).when(low, weak).otherwise(tonal_or_broad)
+    verdict = F.when(nothing | low, "reject").when(music | broad, "review").otherwise("clean")
     return out.withColumns({"background_verdict": verdict, "background_reasons": reasons}).drop("_raised")
 
 

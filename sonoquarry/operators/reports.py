@@ -80,7 +80,19 @@ def bigrams(clips: DataFrame, text: str = "text") -> DataFrame:
 
 
 def top_bigrams(clips: DataFrame, k: int = 50, text: str = "text") -> DataFrame:
-    return bigrams(clips, text).orderBy(F.desc("n"), "bigram").limit(k).select("bigram", "n")
+    """The k commonest; ties go to what came first. Where in its first clip a pair stands is looked up in that clip alone."""
+    first = clips.select("seq", F.lower(text).alias("_text"))
+    placed = bigrams(clips, text).join(first, F.col("first_seen") == F.col("seq")).withColumn("_at", F.expr("position(bigram, _text)"))
+    return placed.orderBy(F.desc("n"), "first_seen", "_at").limit(k).select("bigram", "n")
+
+
+def coverage(clips: DataFrame, text: str = "text") -> DataFrame:
+    """One row: the distinct letters seen, and letters and commonest bigrams with their counts, in order."""
+    ranked = lambda df, c: df.agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("_o"), F.col(c), F.col("n")))).alias("_l"))
+    bare = lambda c: F.transform("_l", lambda x: F.struct(x[c].alias(c), x["n"].alias("n")))
+    seen = ranked(letters(clips, text), "letter").select(F.size("_l").alias("unique_letters_seen"), bare("letter").alias("letter_counts"))
+    pairs = ranked(top_bigrams(clips, 50, text), "bigram").select(bare("bigram").alias("top_50_bigrams"))
+    return seen.join(pairs)  # one row each
 
 
 def source_outcomes(clips: DataFrame, top: int = 4) -> DataFrame:

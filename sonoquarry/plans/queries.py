@@ -171,9 +171,9 @@ def q_letter_coverage(spark, d):
     return reports.letters(V.judged(spark, d))
 
 
-@query(rf"""WITH {V.JUDGED}, c AS (SELECT string_split(lower(text), '') AS c FROM judged WHERE status = 'accepted' AND length(text) > 1),
-    b AS (SELECT unnest(list_transform(list_zip(c[1:len(c) - 1], c[2:len(c)]), lambda z: z[1] || z[2])) AS bigram FROM c)
-    SELECT bigram, count(*) AS n FROM b WHERE regexp_full_match(bigram, '\p{{L}}[\p{{L}} ]') GROUP BY bigram ORDER BY n DESC, bigram LIMIT 50""")
+@query(rf"""WITH {V.JUDGED}, c AS (SELECT seq, string_split(lower(text), '') AS c FROM judged WHERE status = 'accepted' AND length(text) > 1),
+    b AS (SELECT seq, unnest(list_transform(range(1, len(c)), lambda i: {{'bigram': c[i] || c[i + 1], 'pos': i}}), recursive := true) FROM c)
+    SELECT bigram, count(*) AS n FROM b WHERE regexp_full_match(bigram, '\p{{L}}[\p{{L}} ]') GROUP BY bigram ORDER BY n DESC, min(seq * 10000000 + pos) LIMIT 50""")
 def q_top_bigrams(spark, d):
     return reports.top_bigrams(V.judged(spark, d))
 

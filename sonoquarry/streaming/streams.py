@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from sonoquarry.config import DEFAULT, Config
 from sonoquarry.operators.speakers import registered
+from sonoquarry.storage import exists, saved
 
 
 def timed(events: DataFrame, ts: str = "ts", late: str = "10 minutes") -> DataFrame:
@@ -45,23 +48,51 @@ def run_available(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame,
 def speaker_registry(folder: str, cfg: Config = DEFAULT) -> Callable[[DataFrame, int], None]:
     """A foreachBatch function that decides new voices (seq, source_id, embedding) against a registry.
 
-    The registry is a folder of Parquet, one part for each batch, written by overwrite: a batch that runs
-    again has the same effect. Earlier parts are read, later ones ignored.
+    Voices of earlier batches come first, whatever their numbers; within a batch the order is seq. Each new
+    voice meets all registered ones, and the new ones each other; registered ones are not compared again.
+    The registry is one Parquet folder with a partition for each batch, replaced as a whole, so a batch
+    that runs again has the same effect; matched_batch and matched_seq name the voice that was met.
     """
+    schema = "seq long, source_id string, embedding array<float>, decision string, matched_batch long, matched_seq long, similarity double, batch long"
 
     def each(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        parts = [f"{folder}/batch={k}" for k in range(number)]
-        target = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-        parts = [p for p in parts if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p))]
-        new = batch.select("seq", "source_id", "embedding").withColumn("old", F.lit(False))
-        known = new.limit(0)
-        if parts:
-            known = spark.read.schema("seq long, source_id string, embedding array<float>, decision string").parquet(*parts).where("decision <> 'duplicate'").select("seq", "source_id", "embedding", F.lit(True).alias("old"))
-        # Old voices are all registered, so deciding them anew with the new ones must not change them: they
-        # come first in order, and none of them is a duplicate of another.
-        decided = registered(known.unionByName(new), cfg).where("not old")
-        decided.select("seq", "source_id", "embedding", "decision", "matched_seq", "similarity").write.mode("overwrite").parquet(f"{folder}/batch={number}")
+        new = saved(batch.select(F.col("seq").cast("long").alias("seq"), "source_id", F.col("embedding").cast("array<float>").alias("embedding")))
+        known = names = None
+        if exists(spark, f"{folder}/batch=*"):
+            held = spark.read.schema(schema).option("basePath", folder).parquet(folder).where((F.col("batch") < number) & (F.col("decision") != "duplicate"))
+            # Numbers in the order of registration, for the comparison alone.
+            order = F.row_number().over(Window.orderBy("batch", "seq")).cast("long")
+            names = saved(held.withColumn("_n", order).select("batch", F.col("seq").alias("of"), F.col("_n").alias("seq"), "embedding"))
+            known = names.select("seq", "embedding")
+        decided = registered(new, cfg, known)
+        if known is None:
+            decided = decided.withColumn("matched_batch", F.when(F.col("matched_seq").isNotNull(), F.lit(number).cast("long")))
+        else:
+            of = names.select(F.col("seq").alias("_k"), F.col("batch").alias("_batch"), F.col("of").alias("_of"))
+            decided = decided.join(of, F.col("matched_known") & (F.col("matched_seq") == F.col("_k")), "left")
+            decided = decided.withColumn("matched_batch", F.coalesce("_batch", F.when(F.col("matched_seq").isNotNull(), F.lit(number).cast("long")))).withColumn("matched_seq", F.coalesce("_of", "matched_seq"))
+        decided.select(*[f.split()[0] for f in schema.split(", ")[:-1]]).write.mode("overwrite").parquet(f"{folder}/batch={number}")
 
     return each
+
+
+class Progress(StreamingQueryListener):
+    """Keeps a line for each finished micro-batch of all queries: name, batch, rows in and seconds."""
+
+    def __init__(self, keep: int = 1000) -> None:
+        self.lines: deque[tuple[str, int, int, float]] = deque(maxlen=keep)
+        self.ended: list[tuple[str, str | None]] = []
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        p = event.progress
+        self.lines.append((p.name or str(p.id), p.batchId, p.numInputRows, p.batchDuration / 1000))
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        self.ended.append((str(event.id), event.exception))

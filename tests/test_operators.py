@@ -79,11 +79,12 @@ def test_number_words(spark):
     assert numbers.number_words(12_345_678) == "one crore twenty three lakh forty five thousand six hundred seventy eight".split()
     assert numbers.number_words(0) == ["zero"] and numbers.number_words(-21) == ["minus", "twenty", "one"]
     t = numbers.TELUGU
-    assert numbers.verbalised("t20 ౧౭.", t, 8) == (f"t {t['twenty']} {t['seventeen']} ."[:2] + f"{t['twenty']} {t['seventeen']} .", 2)
-    assert numbers.verbalised("12345678", {}, 8)[0] == "one two three four five six seven eight"
+    texts = ["t20 ౧౭.", "12345678", "a5b6 7", "9 \u3000 100", "", "౨"]
+    spoken = [x.spoken_text for x in numbers.with_number_words(spark.createDataFrame([(x,) for x in texts], "text string").coalesce(1)).collect()]
+    assert spoken == [f"t {t['twenty']} {t['seventeen']} .", " ".join(t[w] for w in "one two three four five six seven eight".split()), f"a {t['five']} b {t['six']} {t['seven']}", f"{t['nine']} \u3000 {t['one']} {t['hundred']}", "", t["two"]]
     d = spark.createDataFrame([("no",), (None,), ("x 5",)], "text string")
     assert [tuple(x)[1:] for x in numbers.with_number_words(d).collect()] == [("no", 0, False), (None, 0, False), (f"x {t['five']}", 1, True)]
-    assert numbers.with_number_words(d, language="klingon").where("changed").count() == 0
+    assert all(numbers.with_number_words(d, language=x).where("changed").count() == 0 for x in ("klingon", "english"))
 
 
 def test_languages(spark):
@@ -289,6 +290,24 @@ def test_background(spark):
     assert {x.id: x.background_verdict for x in background.background_verdict(d).collect()} == {"a": "review", "b": "clean", "c": "clean", "d": "clean", "e": "clean", "f": "review", "g": "reject"}
 
 
+def test_background_of_clips(spark):
+    d = spark.createDataFrame([(0, [0.1, -0.1] * 400, 8000), (1, [], 8000), (2, None, 8000)], "id int, x array<double>, rate int")
+    out = background.background_verdict(d.withColumn("b", signal.background_of("x", "rate")).select("id", "b.*", F.lit(-70.0).alias("file_floor_dbfs")))
+    got = {x.id: (x.background_verdict, x.background_reasons) for x in out.collect()}
+    assert got[1] == got[2] == ("reject", ["empty_audio"])
+    assert got[0][0] == "review"
+    quiet = spark.createDataFrame([(-47.0, -30.0, 0.2, -48.0)], "speech_level_dbfs double, clip_floor_dbfs double, flatness double, file_floor_dbfs double")
+    assert background.background_verdict(quiet).first().background_reasons == ["estimated_snr_1.0dB_with_elevated_noise_floor"]
+
+
+def test_bigram_ties_go_to_the_first_seen(spark):
+    d = spark.createDataFrame([(2, "s", "accepted", "ba zz"), (1, "s", "accepted", "zq ba"), (0, "s", "rejected", "xx")], "seq long, source_id string, status string, text string")
+    assert [(x.bigram, x.n) for x in reports.top_bigrams(d).collect()] == [("ba", 2), ("zq", 1), ("q ", 1), ("a ", 1), ("zz", 1)]
+    assert [(x.bigram, x.n) for x in reports.top_bigrams(d, 2).collect()] == [("ba", 2), ("zq", 1)]
+    x = reports.coverage(d).first()
+    assert x.unique_letters_seen == 4 and x.letter_counts[0].letter == "z" and x.top_50_bigrams[0].n == 2
+
+
 def test_signal():
     rate = 16000
     tone = np.sin(2 * np.pi * 997 * np.arange(rate * 2) / rate)
@@ -296,7 +315,16 @@ def test_signal():
     assert abs(signal.loudness(tone * 0.1, rate) - -23.01) < 0.1
     assert signal.loudness(tone[:100], rate) is None and math.isinf(signal.loudness(tone * 0, rate))
     noise = np.random.default_rng(1).normal(size=4096)
-    assert signal.flatness(tone[:512]) < 0.05 < 0.3 < signal.flatness(noise)
+    assert signal.flatness(tone[:512])[0] < 0.05 < 0.6 < signal.flatness(noise)[0] and signal.flatness(noise[:7])[0] == 1
+    for x in (noise, noise[:200], noise[:100], np.array([0.5])):  # frame by frame, from the definition
+        frames = [f for f in (x[k * 512 : (k + 1) * 512] for k in range(max(1, len(x) // 512))) if len(f) >= 256]
+        spectra = [np.abs(np.fft.rfft(f * np.hanning(len(f)))) + 1e-10 for f in frames]
+        want = np.mean([np.exp(np.mean(np.log(s))) / np.mean(s) for s in spectra]) if frames else 1.0
+        assert abs(signal.clip_background(x, rate)[2] - want) < 1e-9
+    low, high = (signal.fingerprint(np.sin(2 * np.pi * f * np.arange(rate) / rate), rate) for f in (300, 3000))
+    alike = signal.fingerprint(0.9 * np.sin(2 * np.pi * 300 * np.arange(rate) / rate), rate)
+    cosine = lambda a, b: float(a @ b / np.linalg.norm(a) / np.linalg.norm(b))
+    assert len(low) == 13 and cosine(low, alike) > 0.985 > cosine(low, high)
     t, db = signal.frame_levels(tone, rate)
     assert len(t) == 1 + (len(tone) - 400) // 160 and abs(db[3] - -3.01) < 0.2
     assert len(signal.padded(tone, rate, 0.5, 0.5)) == 3 * rate and len(signal.tiled(tone[:10], 25)) == 30 and len(signal.resampled(tone, rate, 8000)) == rate

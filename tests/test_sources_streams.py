@@ -106,12 +106,25 @@ def test_registry_stream_equals_batch(spark, tmp_path):
     rows = [(k, f"s{k}", [float(x) for x in v / np.linalg.norm(v)]) for k, v in enumerate(r.normal(size=(24, 3)))]
     schema = "seq long, source_id string, embedding array<float>"
     cfg = replace(DEFAULT, speaker_reject=0.95, speaker_review=0.7)
+    progress = streams.Progress()
+    spark.streams.addListener(progress)
     for part in (rows[:12], rows[12:]):
         spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
         streams.run_available(streams.intake(spark, f"{tmp_path}/in", schema), f"{tmp_path}/state", streams.speaker_registry(f"{tmp_path}/registry", cfg))
     got = {x.seq: x.decision for x in spark.read.parquet(f"{tmp_path}/registry").collect()}
     want = {x.seq: x.decision for x in speakers.registered(spark.createDataFrame(rows, schema), cfg).collect()}
     assert got == want and set(want.values()) == {"new", "review", "duplicate"}
+    spark.streams.removeListener(progress)
+    assert sum(n for _, _, n, _ in progress.lines) == 24
+
+
+def test_registered_voices_come_before_smaller_numbers(spark, tmp_path):
+    schema = "seq long, source_id string, embedding array<float>"
+    for part in ([(10, "a", [1.0, 0.0]), (11, "b", [0.0, 1.0])], [(5, "c", [1.0, 0.0]), (10, "d", [0.8, 0.6])]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        streams.run_available(streams.intake(spark, f"{tmp_path}/in", schema), f"{tmp_path}/state", streams.speaker_registry(f"{tmp_path}/registry", replace(DEFAULT, speaker_reject=0.9, speaker_review=0.7)))
+    got = {(x.batch, x.seq): (x.decision, x.matched_batch, x.matched_seq) for x in spark.read.parquet(f"{tmp_path}/registry").collect()}
+    assert got == {(0, 10): ("new", None, None), (0, 11): ("new", None, None), (1, 5): ("duplicate", 0, 10), (1, 10): ("review", 0, 10)}
 
 
 def test_plan_falls_back_to_the_root(spark):
