@@ -57,6 +57,7 @@ class Config:
     digitwise_min_len: int = 8
     text_first: bool = False  # the transcript-first path: other gate order and formats
     transcript_digits_review: bool = False
+    background_gate: bool = False  # whether a background verdict counts against its clip
 
 
 DEFAULT = Config()

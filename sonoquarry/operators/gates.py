@@ -37,6 +37,31 @@ def _text(*parts) -> Column:
     return F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
 
 
+def _fact(clips: DataFrame, name: str, otherwise: Column) -> Column:
+    return F.col(name) if name in clips.columns else otherwise
+
+
+_FACTS = ("_bare", "_repeated", "_digits", "_letters", "_control")
+
+
+def with_facts(clips: DataFrame) -> DataFrame:
+    """Adds what several gates ask of a text, once a row: _bare (stripped), _repeated, _digits, _letters, _control.
+
+    The one-row generator stands between these columns and the gates, so that no gate's condition
+    carries the patterns again.
+    """
+    bare = clips.withColumn("_stripped", T.stripped(F.col("text")))
+    b = F.col("_stripped")
+    facts = F.struct(b.alias("_bare"), T.repeated_ngram(T.tokens(F.col("text"))).alias("_repeated"), b.rlike(T.DIGIT).alias("_digits"), b.rlike(T.LETTER).alias("_letters"), b.rlike(T.CONTROL).alias("_control"))
+    return bare.select(*clips.columns, F.inline(F.array(facts)))
+
+
+def settled(clips: DataFrame) -> DataFrame:
+    """Computes the reasons so far once a row; gates after it see plain columns."""
+    names = ["rejection_reasons", "review_reasons"]
+    return clips.select(*[c for c in clips.columns if c not in names], F.inline(F.array(F.struct(*names))))
+
+
 def source_integrity(sources: DataFrame) -> DataFrame:
     """Adds integrity_error: the first fault of a probed file, or null."""
     error = (
@@ -92,14 +117,15 @@ def second_speaker(clips: DataFrame, cfg: Config = DEFAULT, start: str = "start_
     return add(clips, [F.when(F.coalesce(hit, F.lit(False)), "clip_overlaps_second_speaker")])
 
 
-def transcript_reasons(text: Column, detected: Column, target: Column, probability: Column, cfg: Config = DEFAULT) -> Column:
-    """Faults of a transcript, in order."""
+def transcript_reasons(text: Column, detected: Column, target: Column, probability: Column, cfg: Config = DEFAULT, facts: tuple[Column, Column, Column] | None = None) -> Column:
+    """Faults of a transcript, in order. facts, if known: the stripped text, whether it has letters, and control characters."""
     bare = T.stripped(text)
+    bare, letters, control = facts or (bare, bare.rlike(T.LETTER), bare.rlike(T.CONTROL))
     return F.array_compact(
         F.array(
             F.when(bare == "", "empty_transcript"),
-            F.when(bare.rlike(T.CONTROL), "contains_control_characters"),
-            F.when((bare != "") & ~bare.rlike(T.LETTER), "no_alphabetic_content"),
+            F.when(control, "contains_control_characters"),
+            F.when((bare != "") & ~letters, "no_alphabetic_content"),
             F.when(F.coalesce(target, F.lit("")).isin("") == F.lit(False), F.when(~detected.eqNullSafe(target), _text("language_mismatch_detected_", F.coalesce(detected, F.lit("None")), "_target_", target))),
             F.when(probability < cfg.min_language_probability, _text("low_language_confidence_", T.fixed(probability, 2))),
         )
@@ -108,7 +134,8 @@ def transcript_reasons(text: Column, detected: Column, target: Column, probabili
 
 def transcript(clips: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """Routes a transcript's faults. Text first: each rejects. Audio first: hard faults reject alone, else all are for review."""
-    found = clips.withColumn("_faults", transcript_reasons(F.col("text"), F.col("detected_language"), F.col("language"), F.col("language_probability"), cfg))
+    facts = (F.col("_bare"), F.col("_letters"), F.col("_control")) if "_bare" in clips.columns else None
+    found = clips.withColumn("_faults", transcript_reasons(F.col("text"), F.col("detected_language"), F.col("language"), F.col("language_probability"), cfg, facts))
     named = lambda a: F.transform(a, lambda r: F.concat(F.lit("transcript:"), r))
     empty = F.array().cast("array<string>")
     if cfg.text_first:
@@ -127,7 +154,7 @@ def transcript(clips: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
 
 def digits(clips: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """Flags transcripts with digits; a reason for review on the text-first path, or if asked for."""
-    out = clips.withColumn("needs_number_review", T.stripped(F.col("text")).rlike(T.DIGIT))
+    out = clips.withColumn("needs_number_review", _fact(clips, "_digits", T.stripped(F.col("text")).rlike(T.DIGIT)))
     if not (cfg.text_first or cfg.transcript_digits_review):
         return out
     reason = "transcript:contains_digits_needs_manual_number_normalization_review" if cfg.text_first else "transcript:contains_digits_needs_manual_number_review"
@@ -155,8 +182,8 @@ def hallucination(clips: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
         F.when(F.col("compression_ratio") >= cfg.compression_threshold, signal("compression_ratio", "compression_ratio", "gte", cfg.compression_threshold)),
     ]
     reject = [
-        F.when(T.repeated_ngram(T.tokens(F.col("text"))), "hallucination:repeated_ngram_pattern_detected"),
-        F.when(T.stripped(F.col("text")) == "", "hallucination:empty_transcript_text"),
+        F.when(_fact(clips, "_repeated", T.repeated_ngram(T.tokens(F.col("text")))), "hallucination:repeated_ngram_pattern_detected"),
+        F.when(_fact(clips, "_bare", T.stripped(F.col("text"))) == "", "hallucination:empty_transcript_text"),
     ]
     return add(clips, reject, review)
 
@@ -203,22 +230,24 @@ def judged(clips: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     have = set(clips.columns)
     out = with_reasons(clips)
     if cfg.text_first:
-        out = hallucination(out, cfg)
+        out = hallucination(with_facts(out), cfg)
         if {"mean_word_confidence", "chars_per_sec"} <= have:
             out = alignment(out, cfg)
-        out = duration(transcript(out, cfg), cfg)
+        out = settled(duration(transcript(out, cfg), cfg))
         heard = unrejected()
         measured = {c: F.when(heard, F.col(c)) for c in ("dnsmos_ovrl", "dnsmos_bak")} | {"clipped_sample_ratio": F.when(heard, F.col("clipped_sample_ratio")).otherwise(F.lit(0.0))}
         out = quality(clipping(out.withColumns(measured), cfg), cfg, always=True, background=False)
         if "speaker_count" in have:
             out = single_speaker(out)
-        return verdict(digits(out, cfg))
+        return verdict(digits(settled(out), cfg)).drop(*_FACTS)
     if "minority_segments" in have:
         out = second_speaker(out, cfg)
     out = quality(clipping(duration(out, cfg), cfg), cfg)
     if "stt_ok" in have:
         out = transcription_failed(out)
-    out = digits(transcript(out, cfg), cfg)
+    if {"background_reasons", "background_verdict"} <= have and cfg.background_gate:
+        out = background_verdict_gate(out)
+    out = digits(transcript(settled(out), cfg), cfg)
     if "speaker_note" in have:
         out = borderline_speaker(out)
     if "cut_error" in have:
