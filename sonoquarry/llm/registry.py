@@ -141,7 +141,7 @@ WITH d AS (
     SELECT source, count(*) AS pages FROM d GROUP BY source
 ), b AS (
     SELECT l.source, list(line) AS bad FROM (SELECT source, line, count(*) AS n FROM l WHERE line <> '' GROUP BY ALL HAVING n >= 5) l
-    JOIN t ON l.source IS NOT DISTINCT FROM t.source WHERE n > 0.2 * pages GROUP BY l.source
+    JOIN t ON l.source IS NOT DISTINCT FROM t.source WHERE n > 0.06 * pages GROUP BY l.source
 ), k AS (
     SELECT d.*, list_filter(ls, lambda x: trim(x, ' ' || chr(9) || chr(13)) = '' OR NOT list_contains(coalesce(bad, []), trim(x, ' ' || chr(9) || chr(13)))) AS kept
     FROM d LEFT JOIN b ON d.source IS NOT DISTINCT FROM b.source
@@ -164,10 +164,10 @@ WITH t AS (
     SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents
 ), p AS (
     SELECT r, doc_id, list_distinct(list_concat(string_split(text, chr(10)),
-        list_filter(regexp_split_to_array(text, '\\n[ \\t\\r]*\\n'), lambda x: contains(trim(x), chr(10))))) AS units FROM d
+        list_filter(regexp_split_to_array(text, '\\n[ \\t\\r]*\\n'), lambda x: contains(trim(x), chr(10))), [text])) AS units FROM d
 ), u AS (
     SELECT r, w, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g
-    FROM (SELECT r, regexp_extract_all(lower(x), '[\\p{{L}}\\p{{N}}]+') AS w FROM (SELECT r, unnest(units) AS x FROM p)) WHERE len(w) BETWEEN 2 AND 500
+    FROM (SELECT r, regexp_extract_all(lower(x), '[\\p{{L}}\\p{{N}}]+') AS w FROM (SELECT r, unnest(units) AS x FROM p)) WHERE len(w) >= 2
 ), s AS (
     SELECT r, w, name, 2.0::DOUBLE * len(list_intersect(u.g, t.g)) / (len(u.g) + len(t.g)) AS dice, row_number() OVER () AS i
     FROM u JOIN t ON 3 * len(u.g) >= 2 * len(t.g) AND 2 * len(u.g) <= 3 * len(t.g)

@@ -41,6 +41,7 @@ def brute_licences(text, threshold):
     import re
 
     units += [p for p in re.split(r"\n[ \t\r]*\n", t) if "\n" in p.strip(" ")]
+    units.append(t)
     found = []
     for u in dict.fromkeys(units):
         g = set(licences.bigrams_of(u))
@@ -65,3 +66,32 @@ def test_licences(spark):
     assert sum(x[2] for x in got) > 100
     assert licences.findings(d.limit(0)).collect() == []
     assert {x.n_found for x in licences.findings(d, templates={}).collect()} == {0}
+
+
+def test_whole_licence_texts(spark):
+    mit = licences.TEMPLATES["MIT-text"].replace("conditions: The", "conditions:\n\nThe").replace("Software. THE", "Software.\n\nTHE")
+    wrapped = lambda t: "\n".join(" ".join(t.split(" ")[k : k + 9]) for k in range(0, len(t.split(" ")), 9))
+    texts = ["MIT License\n\nCopyright (c) 2020 Some One\n\n" + mit, wrapped(licences.TEMPLATES["ISC-text"]), "Intro\n\n" + wrapped(licences.TEMPLATES["BSD-3-Clause-text"]) + "\n\nmore prose here", wrapped(licences.TEMPLATES["Zlib-text"])]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.doc_id: x.licences for x in licences.findings(d).collect()}
+    assert "MIT-text" in got[0] and got[1] == ["ISC-text"] and got[2] == ["BSD-3-Clause-text"] and got[3] == ["Zlib-text"]
+
+
+def test_every_match_holds_a_marker():
+    r = random.Random(1)
+    own = {n: licences.bigrams_of(t) for n, t in licences.TEMPLATES.items()}
+    marked = licences.markers(own, licences.THRESHOLD)
+    matched = 0
+    for _ in range(4000):
+        words = licences.words_of(r.choice(list(licences.TEMPLATES.values())))
+        for _ in range(r.randint(0, max(1, len(words) // 4))):
+            k = r.randrange(len(words))
+            words[k : k + 1] = r.choice([[], ["x"], [words[k], "x"]])
+            if not words:
+                break
+        text = " ".join(words)
+        g = set(licences.bigrams_of(text))
+        if g and max(2 * len(g & set(b)) / (len(g) + len(b)) for b in own.values()) >= licences.THRESHOLD:
+            matched += 1
+            assert any(m in text for m in marked)
+    assert matched > 1000
