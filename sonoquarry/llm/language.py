@@ -9,9 +9,13 @@ Texts are lower-cased and all but letters becomes single spaces; the UTF-8 bytes
 cut into blocks of BLOCK bytes, so that numpy walks the blocks of many texts and all languages at once,
 one byte a step; a cut adds one phrase at most. Whole texts are parsed.
 
-The sample: per language the labelled documents with the smallest hashed ids, DOCS of them at most, and
-SAMPLE bytes of their normalised text. These are the operator's bounds for fitting; memory of an
-automaton follows from them. score = 1 - best / second best phrase count, 0 for ties.
+The sample, whose sizes are the operator's bounds for fitting: each language's labelled documents are dealt by a
+hash of their ids over DRAWS places, of which each gives the document with the smallest hashed id (a grouped
+minimum, whatever a language's share of the rows); of these, DOCS documents with the smallest hashed ids are
+read, by at most SHARE bytes of normalised text each, until SAMPLE bytes are together. All languages
+together have SAMPLES bytes at most, so more than SAMPLES / SAMPLE of them get less each; memory of the
+automata follows from that. More than LABELS labels are refused, as no column of languages has so many.
+score = 1 - best / second best phrase count, 0 for ties.
 
 in_known_language keeps the texts that learned languages fit: those whose phrases, each block parsed against
 its best language, less one for each block, are at most FIT a byte plus SLACK. So texts of several learned
@@ -35,6 +39,7 @@ from pyspark.sql import functions as F
 from sonoquarry.llm.shared import documents_of, filtered_rows
 
 SAMPLE, DOCS, BLOCK = 16_000, 64, 512
+SHARE, DRAWS, SAMPLES, LABELS = 2000, 256, 1 << 20, 2000
 FIT, SLACK = 0.32, 8
 _LETTER = re.compile(r"[^\W\d_]")
 _OTHER = re.compile(r"[\W\d_]+")
@@ -145,24 +150,28 @@ class Automata:
 
 
 def labelled_sample(docs: DataFrame, label: Column, part: Column, docs_per_language: int = DOCS, sample: int = SAMPLE) -> dict[str, bytes]:
-    """A bounded sample of text per language. Only the picked documents' texts are read to the driver."""
+    """A bounded sample of text per language. Only the picked documents' first characters are read to the driver."""
     key = F.xxhash64("doc_id", F.lit(11))
-    rows = docs.where(part & label.isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", label.alias("label"), key.alias("key"))
-    # A threshold per language leaves about four times the wanted number of keys before any is ranked.
-    count = rows.groupBy("label").agg(F.count("*").alias("n"))
-    near = rows.join(count, "label").where(F.expr(f"key < -9.223372036854775808e18 + 1.8446744073709551616e19 * {4 * docs_per_language} / n"))
-    rank = F.row_number().over(Window.partitionBy("label").orderBy("key", "doc_id"))
-    picked = near.withColumn("rank", rank).where(F.col("rank") <= docs_per_language).select("doc_id", "label")
-    ids = {(r.doc_id, r.label) for r in picked.collect()}
-    if not ids:
+    rows = docs.where(part & label.isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "text", label.alias("label"), key.alias("key"))
+    place = F.pmod(F.xxhash64("doc_id", F.lit(12)), F.lit(DRAWS))
+    drawn = rows.groupBy("label", place.alias("place")).agg(F.min("key").alias("key")).select("label", "key").limit(LABELS * DRAWS + 1).collect()
+    keys: dict[str, list[int]] = {}
+    for r in drawn:
+        keys.setdefault(r.label, []).append(r.key)
+    if len(keys) > LABELS or len(drawn) > LABELS * DRAWS:
+        raise ValueError(f"more than {LABELS} labels: not a column of languages")
+    if not keys:
         return {}
-    texts: dict[str, list] = {}
-    wanted = docs.where(F.col("doc_id").isin([i for i, _ in ids]) & part & label.isNotNull()).select("doc_id", label.alias("label"), F.substring("text", 1, sample).alias("text"))
-    for r in wanted.orderBy("label", key, "text").collect():
-        if r.text and (r.doc_id, r.label) in ids:
-            texts.setdefault(r.label, []).append(normalised(r.text)[: max(512, 8 * sample // docs_per_language)])
-    samples = {k: b" ".join(x for x in v if x)[:sample] for k, v in texts.items()}
-    return {k: v for k, v in samples.items() if v}
+    sample = min(sample, SAMPLES // len(keys))
+    picked = [(name, k) for name, found in keys.items() for k in sorted(found)[:docs_per_language]]
+    wanted = docs.sparkSession.createDataFrame(picked, "label string, key long")
+    # Rows that repeat an id give one text: the smallest of their beginnings.
+    texts = rows.join(F.broadcast(wanted), ["label", "key"]).groupBy("label", "key").agg(F.min(F.substring("text", 1, 2 * SHARE)).alias("text"))
+    parts: dict[str, list[bytes]] = {}
+    for r in sorted(texts.collect(), key=lambda r: (r.label, r.key)):
+        if r.text and (plain := normalised(r.text)[:SHARE]):
+            parts.setdefault(r.label, []).append(plain)
+    return {name: b" ".join(found)[:sample] for name, found in parts.items()}
 
 
 def _judged(model: Automata, texts: list) -> tuple[list[str], list[float], np.ndarray]:

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import zlib
 import re
 
 from sonoquarry.llm import chat, language, secrets, urls
@@ -128,3 +129,52 @@ def test_held_out_accuracy(spark):
     got = language.languages(d).where("held_out").join(d.select("doc_id", "lang", "text"), "doc_id").where("lang is not null and length(text) > 40").collect()
     assert len(got) > 30
     assert sum(x.lang == x.lang_pred for x in got) / len(got) >= 0.95
+
+
+def test_prediction_like_plain_parsing(spark):
+    """Language, ties and score from phrases counted by substring search in the operator's own samples."""
+    r = random.Random(2)
+    words = {"aa": "abba baba cab".split(), "bb": "deed fed abba".split(), "cc": "cab deed hi".split()}
+    rows = [(k, " ".join(r.choice(words[name]) for _ in range(r.randint(1, 30))), name) for k in range(120) for name in [r.choice("abc") * 2]]
+    rows += [(200, "zzz", None), (201, "abba fed hi " * 200, None), (202, "1 2", "aa"), (203, None, "bb"), (7, "abba", "aa"), (7, "abba", "aa")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    samples = language.fitted(d)
+    assert sorted(samples) == ["aa", "bb", "cc"]
+
+    def count(text, sample):
+        n = 0
+        for a in range(0, len(text), language.BLOCK):
+            block = text[a : a + language.BLOCK]
+            while block:
+                k = 1
+                while k <= len(block) and block[:k] in sample:
+                    k += 1
+                block, n = block[max(1, k - 1) :], n + 1
+        return n
+
+    want = []
+    for i, text, _ in rows:
+        if not text or not any(c.isalpha() for c in text):
+            want.append((i, "und", 0.0))
+            continue
+        found = sorted((count(language.normalised(text), s), name) for name, s in samples.items())
+        want.append((i, found[0][1], 1 - found[0][0] / found[1][0]))
+    got = [(x.doc_id, x.lang_pred, x.score) for x in language.languages(d).collect()]
+    assert sorted((i, p, round(s, 9)) for i, p, s in got) == sorted((i, p, round(s, 9)) for i, p, s in want)
+
+
+def test_sample_of_a_repeated_id_and_many_labels(spark, monkeypatch):
+    known = next(k for k in range(99) if zlib.crc32(str(k).encode()) % 3 != 1)
+    rows = [(known, f"text number {k} of one id", "aa") for k in range(3000)] + [(k, "other words", "bb") for k in range(40)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    samples = language.fitted(d)
+    assert len(samples["aa"]) < 40 and b"other words" in samples["bb"]
+    monkeypatch.setattr(language, "SAMPLES", 60)
+    assert all(len(x) <= 30 for x in language.fitted(d).values())
+    monkeypatch.setattr(language, "LABELS", 1)
+    try:
+        language.fitted(d)
+    except ValueError as e:
+        assert "labels" in str(e)
+    else:
+        raise AssertionError("too many labels were taken")
