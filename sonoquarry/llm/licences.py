@@ -21,6 +21,8 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -130,10 +132,8 @@ def findings(docs: DataFrame, templates: dict[str, str] | None = None, threshold
     # A paragraph of one line is that line; units are taken once each.
     paragraphs = F.filter(F.split(text, r"\n[ \t\r]*\n"), lambda x: F.contains(F.trim(x), F.lit("\n")))
     units = F.array_distinct(F.concat(F.split(text, "\n"), paragraphs, F.array(text)))
-    low, found = F.lower(text), None
-    for word in markers(own, threshold):
-        hit = F.contains(low, F.lit(word))
-        found = hit if found is None else found | hit
+    held = lambda low: reduce(or_, [F.contains(low, F.lit(word)) for word in markers(own, threshold)])
+    found = F.get(F.transform(F.array(F.lower(text)), held), 0)  # lower-cased once, not for each marker
     units = F.when(found, units).otherwise(F.array().cast("array<string>"))
     # Distinct bigrams are fewer than words, and words at most half the characters plus one: cheap bounds first.
     units = F.filter(units, lambda x: F.length(x) >= 2 * least + 1)
