@@ -15,7 +15,7 @@ from sonoquarry.llm.shared import saved
 
 
 # Share of a source's pages above which a line is boilerplate. On sf0.1 the boilerplate line has 0.086 to 0.132 in each
-# source and no other line more than 0.048: a ratio between the two, the same at every size. (op6_lines has its SQL's 0.2.)
+# source and no other line more than 0.048: a ratio between the two, the same at every size. op6_lines takes the same.
 LINE_RATIO = 0.06
 
 
