@@ -87,6 +87,31 @@ def repeated_ngram(words: Column, n: int = 3, times: int = 3) -> Column:
     return F.coalesce(bound(words, found), F.lit(False))
 
 
+def title(text: Column) -> Column:
+    """Each run of letters with a capital first and small ones after it."""
+    runs = F.regexp_extract_all(text, F.lit(r"\p{L}+|\P{L}+"), 0)
+    return F.array_join(F.transform(runs, lambda r: F.concat(F.upper(F.substring(r, 1, 1)), F.lower(F.substring(r, 2, 1 << 30)))), "")
+
+
+def stt_response(body: Column) -> Column:
+    """A transcription server's reply as a struct: transcript, segments, language, audio_sec and error.
+
+    The transcript is the document's `transcript`, else its `text`, else the document itself if it is a
+    string; without one, or if the reply is no JSON, only error is set. Null bodies are no JSON.
+    """
+    doc = F.try_parse_json(body)
+    of = lambda path, kind: F.try_variant_get(doc, path, kind)
+    bare = F.when(F.schema_of_variant(doc) == "STRING", of("$", "string"))
+    transcript = stripped(F.coalesce(of("$.transcript", "string"), of("$.text", "string"), bare))
+    shown = F.substring(F.coalesce(body, F.lit("")), 1, 200)
+    error = F.when(doc.isNull(), F.concat(F.lit("STT server returned non-JSON response: "), shown)).when(transcript.isNull(), F.concat(F.lit("could not find transcript in STT response: "), shown))
+    ok = error.isNull()
+    return F.struct(
+        transcript.alias("transcript"), F.when(ok, of("$.segments", "array<struct<start: double, end: double, text: string>>")).alias("segments"),
+        F.when(ok, F.coalesce(of("$.language", "string"), F.lit(""))).alias("language"), F.when(ok, F.coalesce(of("$.audio_seconds", "double"), F.lit(0.0))).alias("audio_sec"), error.alias("error"),
+    )
+
+
 def bound(value: Column, f: Callable[[Column], Column]) -> Column:
     """f(value) with the value computed once, however often f uses it inside lambdas."""
     return F.get(F.transform(F.array(value), f), 0)

@@ -145,6 +145,54 @@ def per_file(clips: DataFrame, key: str = "source_filename") -> DataFrame:
     return counts.join(cats, key, "left").withColumn("categories", F.coalesce("categories", F.array().cast("array<string>")))
 
 
+# Files of the edge suite and what is expected of each: fixed values. Name, file, expectation, category, file to compare with.
+EDGE_CHECKS = [
+    ("normal", "hin_normal.wav", "some", None, None),
+    ("corrupt", "hin_corrupt.wav", "none", None, None),
+    ("silent", "hin_silent.wav", "none", None, None),
+    ("tiny", "hin_tiny.wav", "none", None, None),
+    ("clipped", "hin_clipped.wav", "reason or none", "clipping", None),
+    ("noisy", "hin_noisy.wav", "reason or fewer", "dnsmos", "hin_normal.wav"),
+    ("unsupported", "mar_unsupported.wav", "reason or none", "stt_failed", None),
+    ("two speakers", "hin_twospeakers.wav", "reason and none", "file_level", None),
+    ("speaker first", "tel_speakerX_1.wav", "some", None, None),
+    ("speaker again", "tel_speakerX_2.wav", "reason and none", "file_level", None),
+]
+
+
+def edge_checks(files: DataFrame, checks: list[tuple] | None = None, key: str = "source_filename", most: int = 999) -> DataFrame:
+    """check, file and passed over rows of `per_file`; a file without records has nothing accepted and no reasons.
+
+    "reason or fewer" compares with another file's accepted clips, `most` if that file has no records.
+    """
+    checks = EDGE_CHECKS if checks is None else checks
+    asked = files.sparkSession.createDataFrame(checks, "check string, file string, expected string, category string, against string")
+    named = files.where(F.col(key).isin(sorted({x for c in checks for x in (c[1], c[4]) if x})))
+    one = named.select(F.col(key).alias("file"), "accepted", "categories")
+    other = named.select(F.col(key).alias("against"), F.col("accepted").alias("compared"))
+    rows = asked.join(one, "file", "left").join(other, "against", "left")
+    n, why = F.coalesce("accepted", F.lit(0)), F.coalesce(F.array_contains("categories", F.col("category")), F.lit(False))
+    passed = {"some": n > 0, "none": n == 0, "reason or none": why | (n == 0), "reason or fewer": why | (n < F.coalesce("compared", F.lit(most))), "reason and none": why & (n == 0)}
+    out = F.lit(None).cast("boolean")
+    for expected, holds in passed.items():
+        out = F.when(F.col("expected") == expected, holds).otherwise(out)
+    return rows.select("check", "file", out.alias("passed"))
+
+
+def edge_totals(checked: DataFrame) -> DataFrame:
+    return checked.agg(F.count_if("passed").alias("passed"), F.count("*").alias("total"))
+
+
+def with_digits(clips: DataFrame) -> DataFrame:
+    """How many accepted clips have a digit in their text."""
+    return clips.where("status = 'accepted'").agg(F.count_if(F.rlike("text", F.lit(T.DIGIT))).alias("with_digits"), F.count("*").alias("accepted"))
+
+
+def first_accepted(clips: DataFrame, n: int = 200) -> DataFrame:
+    """The first n accepted clips in the order of seq: a listing, so a limit is what it is."""
+    return clips.where("status = 'accepted'").orderBy("seq").limit(n)
+
+
 def labelled(counts: DataFrame, column: str = "category") -> DataFrame:
     """Adds the sentence for a category; unknown ones keep their code."""
     table = F.create_map(*[F.lit(x) for kv in REASON_LABELS.items() for x in kv])

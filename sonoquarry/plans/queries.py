@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sonoquarry import schemas
 from sonoquarry.config import DEFAULT
 from sonoquarry.functions import languages, numbers, signal
 from sonoquarry.functions import text as T
@@ -14,6 +16,8 @@ from sonoquarry.functions.vectors import cosine
 from sonoquarry.operators import background, dedup, gates, maintenance, reports, speakers
 from sonoquarry.operators import segments as seg
 from sonoquarry.plans import views as V
+from sonoquarry.sources import manifests
+from sonoquarry.storage import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -511,3 +515,56 @@ def q_session_windows(spark, d):
 
     out = streams.sessions(V.table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp")), "6 hours", "user_id")
     return out.select("user_id", F.col("start").cast("timestamp_ntz").alias("start"), "n")
+
+
+@query(rf"WITH {V.JUDGED} SELECT count(*) FILTER (regexp_matches(text, '\p{{Nd}}')) AS with_digits, count(*) AS accepted FROM judged WHERE status = 'accepted'")
+def q_accepted_with_digits(spark, d):
+    return reports.with_digits(V.judged(spark, d))
+
+
+@query(f"WITH {V.JUDGED} SELECT utterance_id, text FROM judged WHERE status = 'accepted' ORDER BY seq LIMIT 200")
+def q_first_accepted(spark, d):
+    return reports.first_accepted(V.judged(spark, d)).select("utterance_id", "text")
+
+
+_CHECKS = [("a", "src1", "some", None, None), ("b", "src2", "none", None, None), ("c", "src3", "reason or none", "clipping", None), ("d", "src4", "reason or fewer", "too_short", "src1"), ("e", "src5", "reason and none", "file_level", None), ("f", "absent", "none", None, None)]
+
+
+@query(f"""WITH {V.JUDGED}, f AS (SELECT source_id, count(*) FILTER (status = 'accepted') AS n, count(*) FILTER (len(list_filter(list_concat(rejection_reasons, review_reasons), lambda x: split_part(x, ':', 1) = 'clipping')) > 0) AS clipping,
+    count(*) FILTER (len(list_filter(list_concat(rejection_reasons, review_reasons), lambda x: split_part(x, ':', 1) = 'too_short')) > 0) AS too_short, count(*) FILTER (len(list_filter(list_concat(rejection_reasons, review_reasons), lambda x: split_part(x, ':', 1) = 'file_level')) > 0) AS file_level FROM judged GROUP BY source_id),
+    g AS (SELECT coalesce(max(n) FILTER (source_id = 'src1'), 0) AS n1, coalesce(max(n) FILTER (source_id = 'src1'), 999) AS most, coalesce(max(n) FILTER (source_id = 'src2'), 0) AS n2, coalesce(max(n) FILTER (source_id = 'src3'), 0) AS n3, coalesce(max(clipping) FILTER (source_id = 'src3'), 0) AS c3,
+    coalesce(max(n) FILTER (source_id = 'src4'), 0) AS n4, coalesce(max(too_short) FILTER (source_id = 'src4'), 0) AS s4, coalesce(max(n) FILTER (source_id = 'src5'), 0) AS n5, coalesce(max(file_level) FILTER (source_id = 'src5'), 0) AS f5 FROM f)
+    SELECT unnest([{{'check': 'a', 'passed': n1 > 0}}, {{'check': 'b', 'passed': n2 = 0}}, {{'check': 'c', 'passed': c3 > 0 OR n3 = 0}}, {{'check': 'd', 'passed': s4 > 0 OR n4 < most}}, {{'check': 'e', 'passed': f5 > 0 AND n5 = 0}}, {{'check': 'f', 'passed': true}}], recursive := true) FROM g""")
+def q_edge_checks(spark, d):
+    return reports.edge_checks(reports.per_file(V.judged(spark, d), "source_id"), _CHECKS, "source_id").select("check", "passed")
+
+
+_SAID = r"regexp_replace(coalesce(text, ''), '^\s+|\s+$', '', 'g')"
+
+
+@query(f"""SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN {_SAID} WHEN 1 THEN {_SAID} WHEN 2 THEN 'a bare reply' END AS transcript, CASE doc_id % 4 WHEN 0 THEN coalesce(lang, '') WHEN 1 THEN '' WHEN 2 THEN '' END AS language,
+    CASE doc_id % 4 WHEN 0 THEN n_chars::DOUBLE WHEN 1 THEN 0.0 WHEN 2 THEN 0.0 END AS audio_sec, CASE WHEN doc_id % 4 = 3 THEN 'STT server returned non-JSON response: <' || substring(coalesce(text, ''), 1, 199) END AS error FROM documents""")
+def q_stt_response(spark, d):
+    text = F.coalesce("text", F.lit(""))
+    reply = F.when(F.col("doc_id") % 4 == 0, F.to_json(F.struct(text.alias("transcript"), F.col("lang").alias("language"), F.col("n_chars").alias("audio_seconds"))))
+    reply = reply.when(F.col("doc_id") % 4 == 1, F.to_json(F.struct(text.alias("text")))).when(F.col("doc_id") % 4 == 2, F.lit('" a bare reply"')).otherwise(F.concat(F.lit("<"), text))
+    return V.table(spark, d, "documents").select("doc_id", T.stt_response(reply).alias("r")).select("doc_id", "r.transcript", "r.language", "r.audio_sec", "r.error")
+
+
+@query("SELECT source AS source_id, count(*) AS source_size, CASE WHEN count(*) % 2 = 1 THEN 'failed' ELSE 'completed' END AS status FROM documents WHERE source IS NOT NULL GROUP BY source")
+def q_states_written(spark, d):
+    path = f"{shared_folder(spark)}/states-{uuid.uuid4().hex}"
+    sources = V.table(spark, d, "documents").where("source is not null").groupBy(F.col("source").alias("source_id")).agg(F.count("*").alias("source_size"))
+    state = sources.select(*[(F.col(x.name) if x.name in sources.columns else F.lit(None).cast(x.dataType)).alias(x.name) for x in spark.createDataFrame([], schemas.STATE).schema])
+    manifests.write_states(state.withColumn("status", F.lit("completed")), path)
+    manifests.write_states(state.where("source_size % 2 = 1").withColumn("status", F.lit("failed")), path)
+    return manifests.states(spark, path).select("source_id", "source_size", "status")
+
+
+@query("SELECT source AS source_id, CASE WHEN count(*) % 2 = 1 THEN count(*) ELSE 0 END AS n_samples FROM documents WHERE source IS NOT NULL GROUP BY source")
+def q_levels_cached(spark, d):
+    root = f"{shared_folder(spark)}/levels-{uuid.uuid4().hex}"
+    sources = V.table(spark, d, "documents").where("source is not null").groupBy(F.col("source").alias("source_id")).agg(F.count("*").alias("n_samples"))
+    manifests.write_cache(sources.withColumn("n_samples", F.lit(0).cast("long")), root)
+    manifests.write_cache(sources.where("n_samples % 2 = 1"), root)
+    return manifests.cached(spark, root, schemas.LEVELS).select("source_id", "n_samples")

@@ -27,3 +27,5 @@ STATE = """source_path STRING, source_size BIGINT, source_mtime DOUBLE, source_i
 stages MAP<STRING, STRING>, status STRING, error STRING, updated_at DOUBLE, schema_version INT"""
 
 SPEAKERS = "speakers ARRAY<STRUCT<source_id: STRING, embedding: ARRAY<FLOAT>>>"
+
+VOICE = "seq INT, source_id STRING, embedding ARRAY<FLOAT>"

@@ -2,30 +2,38 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sonoquarry import schemas
+from sonoquarry.storage import exists
 
 STATUSES = ("accepted", "quarantined", "rejected")
 
 
-def _existing(spark: SparkSession, path: str) -> bool:
+def _is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether path is a table of this module (a folder of JSON lines), not one or more documents."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(target)
-    return found is not None and len(found) > 0
+    return any(x.isDirectory() for x in target.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(target) or [])
+
+
+def _current(spark: SparkSession, path: str) -> str:
+    """path, or its backup if a writer was lost between the renames of `replace_table`."""
+    return path if exists(spark, path) or not exists(spark, f"{path}.bak") else f"{path}.bak"
 
 
 def strict(spark: SparkSession, path: str, schema: str = schemas.CLIP) -> DataFrame:
     """JSON lines; a bad line fails the read, a missing file is empty."""
-    if not _existing(spark, path):
+    if not exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
 def lenient(spark: SparkSession, path: str, schema: str = schemas.CLIP, keep_bad: bool = False) -> DataFrame:
     """JSON lines without those that don't parse, or with their text in bad_line."""
-    if not _existing(spark, path):
+    if not exists(spark, path):
         return spark.createDataFrame([], schema + (", bad_line STRING" if keep_bad else ""))
     if not keep_bad:
         return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
@@ -44,7 +52,7 @@ def all_manifests(spark: SparkSession, root: str, keep_status: bool = True) -> D
 
 def lines(spark: SparkSession, path: str) -> int:
     """Lines that are not blank."""
-    return spark.read.text(path).where("trim(value) <> ''").count() if _existing(spark, path) else 0
+    return spark.read.text(path).where("trim(value) <> ''").count() if exists(spark, path) else 0
 
 
 def transcriptions(spark: SparkSession, path: str) -> DataFrame:
@@ -57,25 +65,70 @@ def level_caches(spark: SparkSession, path: str) -> DataFrame:
 
 
 def states(spark: SparkSession, path: str) -> DataFrame:
-    return lenient(spark, path, schemas.STATE)
+    """States as `write_states` leaves them, or single documents (path may be a pattern); what can't be parsed is no state."""
+    path = _current(spark, path)
+    if not exists(spark, path) or _is_folder(spark, path):
+        return lenient(spark, path, schemas.STATE)
+    return spark.read.schema(schemas.STATE).option("mode", "DROPMALFORMED").option("multiLine", "true").json(path)
 
 
 def speakers(spark: SparkSession, path: str) -> DataFrame:
-    """Registered voices in their order: seq, source_id, embedding."""
-    if not _existing(spark, path):
-        return spark.createDataFrame([], "seq int, source_id string, embedding array<float>")
+    """Registered voices in their order: seq, source_id, embedding. From a table or from one document."""
+    path = _current(spark, path)
+    if not exists(spark, path):
+        return spark.createDataFrame([], schemas.VOICE)
+    if _is_folder(spark, path):
+        return spark.read.schema(schemas.VOICE).json(path)
     return spark.read.schema(schemas.SPEAKERS).option("multiLine", "true").json(path).where("speakers is not null").select(F.posexplode("speakers").alias("seq", "s")).select("seq", "s.source_id", "s.embedding")
 
 
+def replace_table(rows: DataFrame, path: str) -> None:
+    """Writes JSON lines beside path, then renames: a reader finds all of the old table or all of the new one.
+
+    The old table stays as path.bak until the next call. rows may be read from path itself.
+    """
+    spark = rows.sparkSession
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    files = at(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    part, backup = f"{path}.{uuid.uuid4().hex}.part", f"{path}.bak"
+    rows.write.json(part)
+    if files.exists(at(path)):
+        files.delete(at(backup), True)
+        if not files.rename(at(path), at(backup)):
+            raise OSError(f"can't move {path} to {backup}")
+    if not files.rename(at(part), at(path)):
+        raise OSError(f"can't move {part} to {path}")
+
+
+def write_states(fresh: DataFrame, path: str) -> None:
+    """Puts the fresh states in the place of their sources' earlier ones."""
+    names = fresh.sparkSession.createDataFrame([], schemas.STATE).columns
+    old = states(fresh.sparkSession, path).join(fresh.select("source_id").distinct(), "source_id", "left_anti")
+    replace_table(old.select(*names).unionByName(fresh.select(*names)), path)
+
+
+def write_speakers(voices: DataFrame, path: str) -> None:
+    """All registered voices (seq, source_id, embedding), one line each."""
+    replace_table(voices.select("seq", "source_id", "embedding"), path)
+
+
+def write_cache(rows: DataFrame, root: str) -> None:
+    """Transcriptions or levels with their source_id: the sources' earlier rows are overwritten, others aren't touched."""
+    _overwrite_parts(rows, root, "source_id")
+
+
+def cached(spark: SparkSession, root: str, schema: str) -> DataFrame:
+    """What write_cache left, with source_id."""
+    return lenient(spark, root, f"{schema}, source_id STRING")
+
+
+def _overwrite_parts(rows: DataFrame, root: str, *keys: str) -> None:
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).json(root)
+
+
 def write_manifests(clips: DataFrame, root: str) -> None:
     """One JSON table of all clips, by source and status; a source's files are overwritten, never doubled."""
-    spark = clips.sparkSession
-    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        clips.write.mode("overwrite").partitionBy("source_id", "status").json(root)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+    _overwrite_parts(clips, root, "source_id", "status")
 
 
 def append(clips: DataFrame, path: str) -> None:

@@ -353,3 +353,24 @@ def test_ratio_bounds_never_hide_a_match():
 def test_timestamp_lines(spark):
     d = spark.createDataFrame([("u", "f.wav", "accepted", 0.0, 4.25, 4.25, "te", " x ")], "utterance_id string, source_filename string, status string, start_sec double, end_sec double, duration_sec double, detected_language string, text string")
     assert reports.timestamp_lines(reports.timestamps(d)).first().line == "  1  00:00:00.000  00:00:04.250     4.2s   x"
+
+
+def test_stt_responses(spark):
+    bodies = ['{"transcript": " a ", "text": "b", "language": "te", "audio_seconds": 2, "segments": [{"start": 0, "end": 1.5, "text": "a"}]}', '{"transcript": null, "text": "b"}', '" c "', "[1]", "{}", "<html>", None]
+    got = [x.r for x in spark.createDataFrame([(k, b) for k, b in enumerate(bodies)], "k int, body string").select("k", T.stt_response(F.col("body")).alias("r")).orderBy("k").collect()]
+    assert [x.transcript for x in got] == ["a", "b", "c", None, None, None, None]
+    assert got[0].language == "te" and got[0].audio_sec == 2.0 and got[0].segments[0].end == 1.5 and got[1].audio_sec == 0.0
+    assert [x.error and x.error.split(" response")[0] for x in got] == [None, None, None, "could not find transcript in STT", "could not find transcript in STT", "STT server returned non-JSON", "STT server returned non-JSON"]
+
+
+def test_title(spark):
+    names = ["", "te lugu", "a-b_c'D", "ÉCOLE x1y", None]
+    got = spark.createDataFrame([(k, x) for k, x in enumerate(names)], "k int, x string").select("k", T.title(F.col("x")).alias("t")).orderBy("k").collect()
+    assert [x.t for x in got] == [x and x.title() for x in names]
+
+
+def test_edge_checks(spark):
+    rows = [("hin_normal.wav", 4, []), ("hin_corrupt.wav", 1, []), ("hin_clipped.wav", 0, ["x"]), ("hin_noisy.wav", 4, ["dnsmos"]), ("hin_twospeakers.wav", 0, ["file_level"]), ("tel_speakerX_2.wav", 0, [])]
+    checked = reports.edge_checks(spark.createDataFrame(rows, "source_filename string, accepted long, categories array<string>"))
+    assert {x.check for x in checked.collect() if not x.passed} == {"corrupt", "speaker first", "speaker again"}
+    assert tuple(reports.edge_totals(checked).first()) == (7, 10)

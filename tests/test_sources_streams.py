@@ -84,6 +84,30 @@ def test_manifests(spark, tmp_path):
     assert set(schemas.CLIP.split()) >= {"utterance_id", "ARRAY<STRING>,"}
 
 
+def test_states_speakers_and_caches(spark, tmp_path):
+    path, schema = f"{tmp_path}/states", schemas.STATE
+    names = spark.createDataFrame([], schema).columns
+    of = lambda rows: spark.createDataFrame([tuple({"source_id": i, "status": s}.get(c) for c in names) for i, s in rows], schema)
+    got = lambda: sorted((x.source_id, x.status) for x in manifests.states(spark, path).collect())
+    assert got() == []
+    manifests.write_states(of([("a", "failed"), ("007", "completed")]), path)
+    manifests.write_states(of([("a", "completed")]), path)
+    assert got() == [("007", "completed"), ("a", "completed")]
+    (tmp_path / "states").rename(tmp_path / "lost")  # a writer lost between its renames: the backup counts
+    assert got() == [("007", "completed"), ("a", "failed")]
+    (tmp_path / "one").mkdir()
+    (tmp_path / "one" / "a.json").write_text(json.dumps({"source_id": "a", "status": "completed"}, indent=2))
+    (tmp_path / "one" / "b.json").write_text("{broken")
+    assert [x.source_id for x in manifests.states(spark, f"{tmp_path}/one/*.json").collect()] == ["a"]
+    voices = spark.createDataFrame([(0, "a", [1.0, 0.0]), (1, "b", [0.0, 1.0])], schemas.VOICE)
+    manifests.write_speakers(voices, f"{tmp_path}/voices")
+    assert sorted(manifests.speakers(spark, f"{tmp_path}/voices").collect()) == sorted(voices.collect())
+    levels = spark.createDataFrame([("007", 1), ("b", 2)], "source_id string, n_samples long")
+    manifests.write_cache(levels, f"{tmp_path}/levels")
+    manifests.write_cache(levels.where("source_id = 'b'").withColumn("n_samples", F.lit(5)), f"{tmp_path}/levels")
+    assert sorted((x.source_id, x.n_samples) for x in manifests.cached(spark, f"{tmp_path}/levels", schemas.LEVELS).collect()) == [("007", 1), ("b", 5)]
+
+
 def test_resume(spark):
     files = spark.createDataFrame([("a", 10, 5.0), ("b", 10, 5.0), ("c", 10, 5.0), ("d", 10, 5.0)], "source_id string, size long, mtime double")
     states = spark.createDataFrame([("a", 10, 5.9, "completed"), ("b", 11, 5.0, "completed"), ("c", 10, 5.0, "failed")], "source_id string, source_size long, source_mtime double, status string")
