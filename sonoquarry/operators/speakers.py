@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -14,7 +15,9 @@ from sonoquarry.functions.text import fixed
 from sonoquarry.operators.graph import LEFT, taken
 from sonoquarry.storage import saved
 
-BLOCK = 1024  # voiceprints a side of one matrix product
+TILE = 1024  # voiceprints a side of one matrix product
+FIRST = 1 << 13  # voices of the first batch of a registry
+PARTS, LARGEST = 16, 1 << 17  # blocks of voiceprints, and how many one may hold before there are more of them
 
 
 def dominant(turns: DataFrame, key: str = "source_id", speaker: str = "speaker") -> DataFrame:
@@ -38,78 +41,126 @@ def file_reason(cfg: Config = DEFAULT) -> Column:
     return F.when(~F.coalesce("speaker_ran", F.lit(False)), failed).when((F.col("num_speakers") > 1) & (F.col("dominant_fraction") < cfg.dominant_fraction), many)
 
 
-def _met(voices: DataFrame, known: DataFrame | None, pick: Callable[[np.ndarray], np.ndarray], block: int) -> DataFrame:
+def _met(voices: DataFrame, known: DataFrame | None, pick: Callable[[np.ndarray], np.ndarray], block: int | None, ordered: bool = False, one: bool = False) -> DataFrame:
     """later, earlier and similarity where `pick` (similarities, -inf where a pair doesn't count) marks them.
 
-    Voices are dealt to blocks and blocks meet in pairs: one matrix product each, and only marked pairs
-    leave the task. An exact all-pairs search is quadratic by nature; its cells are spread evenly.
-    Without `known`, the voices meet each other, the later the earlier; with it they meet all known ones.
+    Voices are dealt to blocks and blocks meet in pairs, tile by tile: only marked pairs leave the task. An
+    exact all-pairs search is quadratic by nature; its cells are spread evenly. A voice is sent once for each
+    block, so blocks are few and grow with the voices: up to PARTS * LARGEST voices it is sent PARTS + 1 times.
+    Without `known`, the voices meet each other, the later the earlier, two blocks in one task for both
+    directions; with it they meet all known ones, or if `ordered` those of lower numbers. `one` leaves one row a
+    voice and task, its best.
     """
     own = known is None
-    deal = lambda df, n, seed: df.where("embedding is not null").select("seq", F.col("embedding").cast("array<double>").alias("e"), F.pmod(F.xxhash64("seq", F.lit(seed)), F.lit(n)).cast("int").alias("at"))
-    blocks = lambda df: max(1, -(-df.where("embedding is not null").count() // block))
+    deal = lambda df, n, seed: df.where("embedding is not null").select("seq", F.col("embedding").alias("e"), F.pmod(F.xxhash64("seq", F.lit(seed)), F.lit(n)).cast("int").alias("at"))
+
+    def blocks(df: DataFrame) -> int:
+        n = df.where("embedding is not null").count()
+        return max(1, -(-n // (block or max(TILE, min(LARGEST, -(-n // PARTS))))))
+
     n = blocks(voices)
     m = n if own else blocks(known)
-    left = deal(voices, n, 1).select("seq", "e", F.col("at").alias("i"), F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias("j"))
-    right = deal(voices if own else known, m, 1).select("seq", "e", F.col("at").alias("j"), F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("i"))
+    first = F.col("at") if own else F.lit(0)  # of two own blocks the lower is on the left
+    left = deal(voices, n, 1).select("seq", "e", F.col("at").alias("i"), F.explode(F.sequence(first, F.lit(m - 1))).alias("j"))
+    right = deal(voices if own else known, m, 1).select("seq", "e", F.col("at").alias("j"), F.explode(F.sequence(F.lit(0), F.col("at") if own else F.lit(n - 1))).alias("i"))
 
-    def run(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        if x.empty or y.empty:
-            return pd.DataFrame({"later": [], "earlier": [], "similarity": []})
-        x, y = x.sort_values("seq"), y.sort_values("seq")
-        sim = np.stack(x["e"].to_numpy()) @ np.stack(y["e"].to_numpy()).T
-        later, earlier = x["seq"].to_numpy(), y["seq"].to_numpy()
-        if own:
-            sim[earlier[None, :] >= later[:, None]] = -np.inf
+    def tiles(z: pd.DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
+        z = z.sort_values("seq")
+        return [(z["seq"].to_numpy()[k : k + TILE], np.stack(z["e"].to_numpy()[k : k + TILE]).astype(np.float64)) for k in range(0, len(z), TILE)]
+
+    def marked(sim: np.ndarray, later: np.ndarray, earlier: np.ndarray) -> pd.DataFrame:
         i, j = np.nonzero(pick(sim))
         return pd.DataFrame({"later": later[i], "earlier": earlier[j], "similarity": sim[i, j]})
 
+    def run(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        out = [pd.DataFrame({"later": np.zeros(0, np.int64), "earlier": np.zeros(0, np.int64), "similarity": np.zeros(0)})]
+        if x.empty or y.empty:
+            return out[0]
+        same = own and x["i"].iloc[0] == y["j"].iloc[0]
+        theirs = tiles(y)
+        for seq, e in tiles(x):
+            for other, f in theirs:
+                sim = e @ f.T
+                if not (own or ordered):
+                    out.append(marked(sim, seq, other))
+                    continue
+                before = other[None, :] < seq[:, None]
+                if before.any():
+                    out.append(marked(np.where(before, sim, -np.inf), seq, other))
+                if own and not same and not before.all():
+                    out.append(marked(np.where(before, -np.inf, sim).T, other, seq))
+        met = pd.concat([o for o in out if len(o)] or out, ignore_index=True)
+        if one:
+            met = met.assign(r=-met["similarity"].round(9)).sort_values(["later", "r", "earlier"]).drop_duplicates("later").drop(columns="r")
+        return met
+
     right = right.toDF(*right.columns)  # columns of its own, though both sides may come from one table
+    tasks = min(n * (n + 1) // 2 if own else n * m, 4096)  # else few bytes, of much work, would be put together
+    left, right = left.repartition(tasks, "i", "j"), right.repartition(tasks, "i", "j")
     return left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInPandas(run, "later long, earlier long, similarity double")
 
 
-def similarities(voices: DataFrame, least: float, known: DataFrame | None = None, block: int = BLOCK) -> DataFrame:
+def similarities(voices: DataFrame, least: float, known: DataFrame | None = None, block: int | None = None) -> DataFrame:
     """later, earlier and similarity of all pairs of voiceprints (seq, embedding) at or above a threshold."""
     return _met(voices, known, lambda sim: sim >= least, block)
 
 
-def top_match(voices: DataFrame, block: int = BLOCK) -> DataFrame:
-    """For each voice the most similar earlier one (the first registered on ties): seq, matched_seq, similarity.
+def _best(voices: DataFrame, known: DataFrame | None, least: float, block: int | None = None, ordered: bool = False) -> DataFrame:
+    """seq, matched_seq and similarity: each voice's most similar other one at or above a threshold, the first on ties.
 
-    Each block gives one row a voice: the first of its best, as columns are in order.
+    Similarities that agree to nine decimals are ties, as a product's last bits depend on the tile it is in.
     """
 
     def best(sim: np.ndarray) -> np.ndarray:
+        top = sim.max(axis=1)
         out = np.zeros(sim.shape, bool)
-        out[np.arange(len(sim)), sim.argmax(axis=1)] = True
-        return out & (sim > -np.inf)
+        out[np.arange(len(sim)), (sim >= (np.round(top, 9) - 5e-10)[:, None]).argmax(axis=1)] = True
+        return out & (sim > -np.inf) & (top >= least)[:, None]
 
-    found = _met(voices, None, best, block).groupBy("later").agg(F.max(F.struct("similarity", (-F.col("earlier")).alias("e"))).alias("m"))
+    found = _met(voices, known, best, block, ordered, one=True).groupBy("later").agg(F.max(F.struct(F.round("similarity", 9).alias("r"), (-F.col("earlier")).alias("e"), "similarity")).alias("m"))
     return found.select(F.col("later").alias("seq"), (-F.col("m.e")).alias("matched_seq"), F.col("m.similarity").alias("similarity"))
 
 
-def registered(voices: DataFrame, cfg: Config = DEFAULT, known: DataFrame | None = None, left: int = LEFT) -> DataFrame:
+def top_match(voices: DataFrame, block: int | None = None) -> DataFrame:
+    """For each voice the most similar earlier one (the first registered on ties): seq, matched_seq, similarity."""
+    return _best(voices, None, -np.inf, block)
+
+
+def registered(voices: DataFrame, cfg: Config = DEFAULT, known: DataFrame | None = None, left: int = LEFT, first: int = FIRST) -> DataFrame:
     """Adds decision (new, review, duplicate), matched_seq and similarity to voices (seq, embedding, ...) in seq order.
 
     known, if given, are voices (seq, embedding) registered before all of these, whatever their numbers;
     matched_known says that the match is one of them. A voice too like a registered one is a duplicate and is
     not registered itself; the others are. A voice without an embedding is new and matches nothing.
+
+    Voices come in batches by seq, each as large as all before it: they meet those registered so far, and only
+    those that are left meet each other. So the pairs written are those of a batch's new voices, not all.
     """
-    near = saved(similarities(voices, cfg.speaker_review))
-    alike = near.where(F.col("similarity") >= cfg.speaker_reject)
-    matches = near.withColumn("old", F.lit(False))
-    out: DataFrame | None = None
-    if known is not None:
-        before = saved(similarities(voices, cfg.speaker_review, known))
-        out = saved(before.where(F.col("similarity") >= cfg.speaker_reject).select(F.col("later").alias("node")).distinct())
-        alike = alike.join(out.withColumnRenamed("node", "earlier"), "earlier", "left_anti").join(out.withColumnRenamed("node", "later"), "later", "left_anti")
-    gone = taken(alike.select(F.col("earlier").alias("a"), F.col("later").alias("b")), left)
-    if out is not None:
-        gone = gone.unionByName(out)
-    matches = matches.join(gone.withColumnRenamed("node", "earlier"), "earlier", "left_anti")
+    rest = voices.where("embedding is not null").select("seq", "embedding")
+    matches: DataFrame | None = None
     if known is not None:
-        matches = matches.unionByName(before.withColumn("old", F.lit(True)))
-    best = matches.groupBy(F.col("later").alias("seq")).agg(F.max(F.struct("similarity", "old", (-F.col("earlier")).alias("e"))).alias("m"))
+        matches = saved(_best(voices, known, cfg.speaker_review))
+        rest = rest.join(matches.where(F.col("similarity") >= cfg.speaker_reject).select("seq"), "seq", "left_anti")
+    rest = saved(rest)
+    shares, n = [], rest.count()
+    while n > first:
+        n = -(-n // 2)
+        shares.insert(0, 0.5 ** (len(shares) + 1))
+    # Where batches end need not be exact.
+    ends = rest.agg(F.percentile_approx("seq", shares, 10_000)).first()[0] if shares else []
+    so_far: list[DataFrame] = []
+    for low, high in zip([None, *ends], [*ends, None], strict=True):
+        part = rest if low is None else rest.where(F.col("seq") > low)
+        part = part if high is None else part.where(F.col("seq") <= high)
+        if so_far:
+            old = reduce(DataFrame.unionByName, so_far)
+            part = saved(part.join(_best(part, old, cfg.speaker_reject).select("seq"), "seq", "left_anti"))
+        gone = taken(similarities(part, cfg.speaker_reject).select(F.col("earlier").alias("a"), F.col("later").alias("b")), left)
+        so_far.append(saved(part.join(gone.withColumnRenamed("node", "seq"), "seq", "left_anti")))
+    best = _best(voices, reduce(DataFrame.unionByName, so_far), cfg.speaker_review, ordered=True).withColumn("old", F.lit(False))
+    if matches is not None:
+        best = best.unionByName(matches.withColumn("old", F.lit(True)))
+    best = best.groupBy("seq").agg(F.max(F.struct(F.round("similarity", 9).alias("r"), "old", (-F.col("matched_seq")).alias("e"), "similarity")).alias("m"))
     found = best.select("seq", (-F.col("m.e")).alias("matched_seq"), F.col("m.similarity").alias("similarity"), F.col("m.old").alias("matched_known"))
     decision = F.when(F.col("similarity") >= cfg.speaker_reject, "duplicate").when(F.col("similarity").isNotNull(), "review").otherwise("new")
     joined = voices.join(found, "seq", "left").withColumn("decision", decision)

@@ -1,12 +1,14 @@
 """What grows with the tables: what leaves a task, and how often a row is sent."""
 
 import random
+from dataclasses import replace
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 
 from sonoquarry.config import DEFAULT
-from sonoquarry.operators import dedup
+from sonoquarry.operators import dedup, speakers
 
 
 def _texts(seed: int, n: int) -> list[str]:
@@ -41,3 +43,27 @@ def test_only_alike_pairs_leave_the_blocks_with_their_ratio(spark):
     out = dedup._alike_in_reach(DEFAULT, tile=8, many=40)(own, own.iloc[:0])
     assert sorted(zip(out["p"], out["q"], strict=True)) == [(i, j) for i in range(20) for j in range(i + 1, 20)]
     assert out["ratio"].isna().sum() == 64 and (out["ratio"].dropna() > 0.99).all()  # the one pair of whole tiles
+
+
+def test_registry_in_batches_and_small_blocks_is_that_in_order(spark):
+    r = np.random.default_rng(8)
+    v = r.normal(size=(150, 4))
+    v = (v / np.linalg.norm(v, axis=1, keepdims=True)).astype(np.float32)
+    v[100:110] = v[3]  # ties go to the first
+    cfg = replace(DEFAULT, speaker_reject=0.93, speaker_review=0.7)
+    registry, want = [], {}
+    for k in range(150):
+        best = max(((round(float(v[k].astype(float) @ v[j].astype(float)), 9), -j) for j in registry), default=(-2.0, 0))
+        want[k] = ("duplicate", -best[1]) if best[0] >= 0.93 else ("review", -best[1]) if best[0] >= 0.7 else ("new", None)
+        if best[0] < 0.93:
+            registry.append(k)
+    d = spark.createDataFrame([(k, [float(x) for x in v[k]]) for k in range(150)], "seq long, embedding array<float>")
+    for first in (20, 1000):
+        assert {x.seq: (x.decision, x.matched_seq) for x in speakers.registered(d, cfg, first=first).collect()} == want
+
+
+def test_top_match_gives_a_row_a_voice_and_task(spark):
+    v = np.random.default_rng(2).normal(size=(3000, 4)).astype(np.float32)
+    d = spark.createDataFrame([(k, [float(x) for x in v[k]]) for k in range(3000)], "seq long, embedding array<float>")
+    n = speakers._met(d, None, lambda sim: sim > -np.inf, 3000, one=True).count()
+    assert n == 2999  # the first has none before it
