@@ -119,13 +119,17 @@ def second_speaker(clips: DataFrame, cfg: Config = DEFAULT, start: str = "start_
 
 def transcript_reasons(text: Column, detected: Column, target: Column, probability: Column, cfg: Config = DEFAULT, facts: tuple[Column, Column, Column] | None = None) -> Column:
     """Faults of a transcript, in order. facts, if known: the stripped text, whether it has letters, and control characters."""
-    bare = T.stripped(text)
-    bare, letters, control = facts or (bare, bare.rlike(T.LETTER), bare.rlike(T.CONTROL))
+    if facts:
+        bare, letters, control = facts
+        filled = bare != ""
+    else:  # the text is stripped only if it has a control character, as some of them are white space
+        filled, letters = text.rlike(f"[^{T.SPACE}]"), text.rlike(T.LETTER)
+        control = text.rlike(T.CONTROL) & T.stripped(text).rlike(T.CONTROL)
     return F.array_compact(
         F.array(
-            F.when(bare == "", "empty_transcript"),
+            F.when(~filled, "empty_transcript"),
             F.when(control, "contains_control_characters"),
-            F.when((bare != "") & ~letters, "no_alphabetic_content"),
+            F.when(filled & ~letters, "no_alphabetic_content"),
             F.when(F.coalesce(target, F.lit("")).isin("") == F.lit(False), F.when(~detected.eqNullSafe(target), _text("language_mismatch_detected_", F.coalesce(detected, F.lit("None")), "_target_", target))),
             F.when(probability < cfg.min_language_probability, _text("low_language_confidence_", T.fixed(probability, 2))),
         )

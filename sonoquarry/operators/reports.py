@@ -51,18 +51,19 @@ def reasons(clips: DataFrame, *columns: str) -> DataFrame:
     return clips.select("seq", "source_id", "status", F.posexplode(both).alias("pos", "reason"))
 
 
+def told(clips: DataFrame) -> DataFrame:
+    """Reasons of rejected clips, and those for review of quarantined ones, in one pass over the clips."""
+    return reasons(clips.withColumn("_told", F.when(F.col("status") == "rejected", F.col("rejection_reasons")).when(F.col("status") == "quarantined", F.col("review_reasons"))), "_told")
+
+
 def reason_counts(clips: DataFrame) -> DataFrame:
     """Exact reasons: those of rejected clips, and those for review of quarantined ones."""
-    rejected = reasons(clips.where("status = 'rejected'"), "rejection_reasons")
-    held = reasons(clips.where("status = 'quarantined'"), "review_reasons")
-    return rejected.unionByName(held).groupBy("status", "reason").agg(F.count("*").alias("n"))
+    return told(clips).groupBy("status", "reason").agg(F.count("*").alias("n"))
 
 
 def category_counts(clips: DataFrame, *by: str) -> DataFrame:
     """Categories with counts and the place where each came first."""
-    rejected = reasons(clips.where("status = 'rejected'"), "rejection_reasons")
-    held = reasons(clips.where("status = 'quarantined'"), "review_reasons")
-    return rejected.unionByName(held).groupBy(*by, "status", T.category(F.col("reason")).alias("category")).agg(F.count("*").alias("n"), F.min(F.struct("seq", "pos")).alias("first_seen"))
+    return told(clips).groupBy(*by, "status", T.category(F.col("reason")).alias("category")).agg(F.count("*").alias("n"), F.min(F.struct("seq", "pos")).alias("first_seen"))
 
 
 def letters(clips: DataFrame, text: str = "text") -> DataFrame:
@@ -138,11 +139,14 @@ def what_if(clips: DataFrame, name: str, thresholds: list[float]) -> DataFrame:
 
 def per_file(clips: DataFrame, key: str = "source_filename") -> DataFrame:
     """Counts by status and the sorted set of reason categories of each file."""
-    of = lambda s: F.count_if(F.col("status") == s)
-    counts = clips.groupBy(key).agg(of("accepted").alias("accepted"), of("quarantined").alias("quarantined"), of("rejected").alias("rejected"))
-    lists = F.concat("rejection_reasons", "review_reasons")
-    cats = clips.select(key, F.explode(lists).alias("r")).groupBy(key).agg(F.sort_array(F.collect_set(T.category(F.col("r")))).alias("categories"))
-    return counts.join(cats, key, "left").withColumn("categories", F.coalesce("categories", F.array().cast("array<string>")))
+    both = F.concat(*[F.coalesce(c, F.array().cast("array<string>")) for c in ("rejection_reasons", "review_reasons")])
+    kinds = clips.select(F.col(key), "status", F.array_sort(F.array_distinct(F.transform(both, T.category))).alias("_k"))
+    few = kinds.groupBy(key, "status", "_k").agg(F.count("*").alias("n"))  # a file's clips have few sets of categories
+    of = lambda s: F.coalesce(F.sum(F.when(F.col("status") == s, F.col("n"))), F.lit(0).cast("long"))
+    return few.groupBy(key).agg(
+        of("accepted").alias("accepted"), of("quarantined").alias("quarantined"), of("rejected").alias("rejected"),
+        F.sort_array(F.array_distinct(F.flatten(F.collect_set("_k")))).alias("categories"),
+    )
 
 
 # Files of the edge suite and what is expected of each: fixed values. Name, file, expectation, category, file to compare with.

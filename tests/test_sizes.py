@@ -6,9 +6,11 @@ from difflib import SequenceMatcher
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import functions as F
 
 from sonoquarry.config import DEFAULT
-from sonoquarry.operators import dedup, speakers
+from sonoquarry.functions import text as T
+from sonoquarry.operators import dedup, gates, reports, speakers
 
 
 def _texts(seed: int, n: int) -> list[str]:
@@ -67,3 +69,26 @@ def test_top_match_gives_a_row_a_voice_and_task(spark):
     d = spark.createDataFrame([(k, [float(x) for x in v[k]]) for k in range(3000)], "seq long, embedding array<float>")
     n = speakers._met(d, None, lambda sim: sim > -np.inf, 3000, one=True).count()
     assert n == 2999  # the first has none before it
+
+
+def test_fixed_is_that_of_python_without_python(spark):
+    r = random.Random(6)
+    xs = [0.0, -0.0, 0.125, 0.375, 1.005, 2.675, -0.001, -2.5, 0.995, 9.995, 99.9999, 1e15 + 0.125, 2.0**52 + 0.5, 2.0**53 + 2, 9e18, 1e22, 5e-324, float("inf"), float("-inf")]
+    xs += [r.uniform(-30, 30) for _ in range(2000)] + [r.randrange(-4000, 4000) / 8 for _ in range(500)] + [r.randrange(-9999, 9999) / 1000 for _ in range(2000)]
+    d = spark.createDataFrame([(x,) for x in [*xs, None, float("nan")]], "x double")
+    for n in (1, 2, 3):
+        out = d.select(T.fixed(F.col("x"), n).alias("t"))
+        assert [x.t for x in out.collect()] == [f"{x:.{n}f}" for x in xs] + [None, None]
+    assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_reports_judge_the_clips_once_without_python(spark):
+    row = "seq long, utterance_id string, source_id string, source_filename string, language string, detected_language string, text string, duration_sec double, clipped_sample_ratio double, dnsmos_ovrl double, dnsmos_bak double, language_probability double"
+    texts = [None, "", " \t ", "a\x01b", "\x0b a", "a\x0bb", "12 !", "fine words", " \x1c x \x1f"]
+    d = gates.judged(spark.createDataFrame([(k, f"u{k}", "s", "s.wav", "en", "en", t, 5.0, 0.0, 3.5, 4.5, 0.9) for k, t in enumerate(texts)], row))
+    for report in (reports.reason_counts(d), reports.category_counts(d), reports.per_file(d)):
+        plan = report._jdf.queryExecution().optimizedPlan().toString()
+        assert "Python" not in plan and plan.count("LogicalRDD") == 1
+    got = {x.seq: [y.removeprefix("transcript:") for y in x.rejection_reasons] for x in d.collect()}
+    assert got == {0: [], 1: ["empty_transcript"], 2: ["empty_transcript"], 3: ["contains_control_characters"], 4: [], 5: ["contains_control_characters"], 6: ["no_alphabetic_content"], 7: [], 8: []}
+    assert tuple(reports.per_file(d).first()) == ("s.wav", 4, 0, 5, ["transcript"])
